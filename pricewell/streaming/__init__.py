@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The engine we match processes each run's files in full (a batch job); it has no watermarks,
+streaming windows, streaming state or late-data handling. An incremental mode is only described
+there (loading new dates with a 50-row look-back) and is not built here either. A new run over
+new files is a new batch load (``plans.job.run_load``), which is idempotent per date range.
+"""
