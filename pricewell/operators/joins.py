@@ -29,6 +29,16 @@ def broadcast_bounded(df: DataFrame) -> DataFrame:
     return F.broadcast(df)
 
 
+def spread_small_scan(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that arrives in fewer splits than the cluster has task slots.
+
+    A large input is read in many splits and is returned unchanged; a small file with one row
+    group would otherwise push all per-row work before the first shuffle through one task.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+
+
 def with_ordered_index(df: DataFrame, order_cols: list[str], name: str, start=0) -> DataFrame:
     """Append a dense 1-based index ``start + rank`` in the order of ``order_cols``.
 

@@ -113,20 +113,30 @@ def range_replace(existing: DataFrame, new_fact: DataFrame, instruments: DataFra
 def integrity_checks(fact: DataFrame, dim_date: DataFrame, dim_instrument: DataFrame,
                      ledger: DataFrame) -> DataFrame:
     """I1-I4 as one row: duplicate fact keys, orphan dates, orphan instruments, invalid values,
-    number of runs the facts point at and whether all point at the newest successful run."""
-    dup_keys = (fact.groupBy("instrument_key", "date_key").agg(F.count(F.lit(1)).alias("_n"))
-                .filter("_n > 1").agg(F.count(F.lit(1)).alias("v")))
-    orphan_dates = fact.join(dim_date.select("date_key"), "date_key", "left_anti").agg(
-        F.count(F.lit(1)).alias("v"))
-    orphan_inst = fact.join(dim_instrument.select("instrument_key"), "instrument_key", "left_anti").agg(
-        F.count(F.lit(1)).alias("v"))
-    bad = fact.filter((F.col("close_price") <= 0) | (F.col("high_price") < F.col("low_price"))
-                      | (F.col("volume") < 0)).agg(F.count(F.lit(1)).alias("v"))
-    runs = fact.select("load_run_id").distinct()
-    latest = ledger.filter(F.col("status") == "SUCCEEDED").agg(F.max("load_run_id")).scalar()
-    run_stats = runs.agg(F.count(F.lit(1)).alias("fact_runs"), F.min("load_run_id").alias("_lo"),
-                         F.max("load_run_id").alias("_hi"))
-    return run_stats.select(
-        dup_keys.scalar().alias("dup_keys"), orphan_dates.scalar().alias("orphan_dates"),
-        orphan_inst.scalar().alias("orphan_instruments"), bad.scalar().alias("bad_values"),
-        "fact_runs", ((F.col("_lo") == latest) & (F.col("_hi") == latest)).cast("int").alias("all_latest"))
+    number of runs the facts point at and whether all point at the newest successful run.
+
+    Every check is a one-row aggregate; they are stacked by a union and pivoted by one final
+    aggregate, so the whole report is a single plan (shared inputs are read once).
+    """
+    one = F.count(F.lit(1))
+    parts = {
+        "dup_keys": (fact.groupBy("instrument_key", "date_key").agg(one.alias("_n"))
+                     .filter("_n > 1").agg(one.alias("v"))),
+        "orphan_dates": fact.join(dim_date.select("date_key"), "date_key", "left_anti").agg(one.alias("v")),
+        "orphan_instruments": fact.join(dim_instrument.select("instrument_key"), "instrument_key",
+                                        "left_anti").agg(one.alias("v")),
+        "bad_values": fact.filter((F.col("close_price") <= 0) | (F.col("high_price") < F.col("low_price"))
+                                  | (F.col("volume") < 0)).agg(one.alias("v")),
+        "fact_runs": fact.select("load_run_id").distinct().agg(one.alias("v")),
+        "_lo": fact.agg(F.min("load_run_id").cast("bigint").alias("v")),
+        "_hi": fact.agg(F.max("load_run_id").cast("bigint").alias("v")),
+        "_latest": ledger.filter(F.col("status") == "SUCCEEDED").agg(F.max("load_run_id").cast("bigint").alias("v")),
+    }
+    stacked = None
+    for name, df in parts.items():
+        df = df.select(F.lit(name).alias("k"), F.col("v").cast("bigint").alias("v"))
+        stacked = df if stacked is None else stacked.unionByName(df)
+    row = stacked.agg(*[F.max(F.when(F.col("k") == n, F.col("v"))).alias(n) for n in parts])
+    return row.select("dup_keys", "orphan_dates", "orphan_instruments", "bad_values", "fact_runs",
+                      ((F.col("_lo") == F.col("_latest")) & (F.col("_hi") == F.col("_latest")))
+                      .cast("int").alias("all_latest"))

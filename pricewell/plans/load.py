@@ -7,6 +7,7 @@ persists exactly these DataFrames; the analytical queries run on them directly.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
@@ -91,10 +92,16 @@ def ledger_from_totals(totals: DataFrame, run_id: int, started_at, finished_at,
 
 
 def load_batch(raw: DataFrame, instruments: DataFrame, run_id: int, before: Warehouse | None,
-               started_at: dt.datetime, finished_at: dt.datetime) -> Batch:
-    """Validate, enrich and merge one raw batch into the warehouse ``before`` (None = empty)."""
+               started_at: dt.datetime, finished_at: dt.datetime,
+               materialize: Callable[[DataFrame], DataFrame] | None = None) -> Batch:
+    """Validate, enrich and merge one raw batch into the warehouse ``before`` (None = empty).
+
+    ``materialize`` (e.g. a checkpoint) is applied to the two intermediates every output reads:
+    the staging table and the new fact rows.
+    """
+    keep = materialize or (lambda df: df)
     reference = normalise_reference(instruments)
-    staging = validate(raw, reference)
+    staging = validate(raw, reference, materialize=materialize)
     metrics = add_rolling_metrics(staging.clean)
 
     new_sector = dim_sector_new(reference, before.dim_sector if before else None)
@@ -104,7 +111,7 @@ def load_batch(raw: DataFrame, instruments: DataFrame, run_id: int, before: Ware
     new_date = dim_date_new(staging.clean, before.dim_date if before else None)
     dim_date = before.dim_date.unionByName(new_date) if before else new_date
 
-    new_fact = fact_rows(metrics, dim_instrument, run_id)
+    new_fact = keep(fact_rows(metrics, dim_instrument, run_id))
     fact = range_replace(before.fact_daily_price, new_fact, reference) if before else new_fact
     rejects = staging.rejects.select(F.lit(run_id).cast("int").alias("load_run_id"), *REJECT_COLS)
     row = ledger_row(staging, new_fact, run_id, started_at, finished_at)

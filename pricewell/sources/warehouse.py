@@ -44,6 +44,7 @@ class WarehouseStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = str(root).rstrip("/")
+        self._ledger_cache: list | None = None
 
     def path(self, *parts) -> str:
         return posixpath.join(self.root, *[str(p) for p in parts])
@@ -63,8 +64,10 @@ class WarehouseStore:
                 .select("load_run_id", "_e.*").drop("event_seq"))
 
     def ledger_rows(self) -> list:
-        """The ledger on the driver: one small row per run, nothing else."""
-        return sorted(self.ledger().collect(), key=lambda r: r.load_run_id)
+        """The ledger on the driver: one small row per run, nothing else (read once per event)."""
+        if self._ledger_cache is None:
+            self._ledger_cache = sorted(self.ledger().collect(), key=lambda r: r.load_run_id)
+        return self._ledger_cache
 
     def append_event(self, run_id: int, status: str, started_at: dt.datetime, finished_at=None,
                      source_files=None, rows=(None, None, None), error_message=None, fact_map=None) -> None:
@@ -72,6 +75,7 @@ class WarehouseStore:
         row = (run_id, seq, started_at, finished_at, status, source_files, *rows, error_message, fact_map)
         (self.spark.createDataFrame([row], LEDGER_SCHEMA).coalesce(1)
          .write.mode("overwrite").parquet(self.path("etl_load_run", f"event={seq}")))
+        self._ledger_cache = None
 
     def next_run_id(self) -> int:
         rows = self.ledger_rows()
