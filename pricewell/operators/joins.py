@@ -42,15 +42,21 @@ def spread_small_scan(df: DataFrame) -> DataFrame:
 def with_ordered_index(df: DataFrame, order_cols: list[str], name: str, start=0) -> DataFrame:
     """Append a dense 1-based index ``start + rank`` in the order of ``order_cols``.
 
-    Distributed version of "row_number over the whole table": rows are range-partitioned and
-    sorted, each row gets ``monotonically_increasing_id`` (partition id in the high bits,
-    position in the low 33 bits), and a per-partition row-count table (one row per partition)
-    turns that into a dense index. No step moves the table into one task. The ``order_cols``
-    must be unique, so the order is total and a recomputed partition gets the same positions.
-    ``start`` may be a Column (e.g. the current maximum key) or an int.
+    Distributed version of "row_number over the whole table": rows are range-partitioned,
+    sorted and checkpointed once; each row gets ``monotonically_increasing_id`` (partition id in
+    the high bits, position in the low 33 bits) and a per-partition row-count table (one row per
+    partition, broadcast) turns that into a dense index. No step moves the table into one task.
+
+    The checkpoint matters: range bounds come from sampling, so two separate executions of the
+    range exchange could split rows differently; both the counts and the final rows must see the
+    same partitions, so they are both read from the one checkpoint. ``order_cols`` must be unique.
+    ``start`` may be a Column (e.g. a scalar subquery on the current maximum key) or an int.
     """
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
     mask = (1 << 33) - 1
     ranged = (df.repartitionByRange(*order_cols).sortWithinPartitions(*order_cols)
+              .checkpoint(eager=True)
               .withColumn("_mid", F.monotonically_increasing_id())
               .withColumn("_pid", F.shiftright("_mid", 33))
               .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit(mask))))
@@ -60,6 +66,7 @@ def with_ordered_index(df: DataFrame, order_cols: list[str], name: str, start=0)
         F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).alias("_off"))
     start_col = start if not isinstance(start, int) else F.lit(start)
+    # one row per partition: bounded by the partition count, so broadcast by construction
     return (ranged.join(F.broadcast(offsets), "_pid")
             .withColumn(name, (start_col + F.col("_off") + F.col("_pos") + 1).cast("int"))
             .drop("_mid", "_pid", "_pos", "_off"))
