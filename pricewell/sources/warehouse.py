@@ -158,3 +158,15 @@ class WarehouseStore:
          .write.mode("overwrite").partitionBy("year")
          .parquet(self.path("fact_daily_price", f"run={run_id}")))
 
+
+def export_extracts(wh: Warehouse, out_dir: str) -> list[str]:
+    """CSV extracts of the six tables (header row, one directory per table), for tools that read
+    text files. Each table is written by the executors in parallel; nothing passes the driver."""
+    from ..plans.load import TABLES
+    paths = []
+    for name in TABLES:
+        p = posixpath.join(str(out_dir).rstrip("/"), name)
+        getattr(wh, name).write.mode("overwrite").option("header", True).csv(p)
+        paths.append(p)
+    return paths
+

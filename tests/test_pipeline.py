@@ -13,7 +13,7 @@ from pricewell.plans import views
 from pricewell.plans.job import run_load, run_pipeline
 from pricewell.sources.feed import RAW_COLUMNS
 from pricewell.sources.tape import tape_instruments, tape_prices
-from pricewell.sources.warehouse import WarehouseStore
+from pricewell.sources.warehouse import WarehouseStore, export_extracts
 
 
 @pytest.fixture(scope="module")
@@ -100,3 +100,16 @@ def test_failed_run_changes_nothing(spark, feed_dir, tmp_path):
     assert "boom" in rows[1].error_message
     assert store.read().fact_daily_price.count() == n
     assert store.read().etl_rejected_row.select("load_run_id").distinct().collect()[0].load_run_id == 1
+
+
+def test_csv_extracts(spark, tmp_path):
+    raw, inst = tape_prices(spark, SF_SMALL), tape_instruments(spark, SF_SMALL)
+    wh = str(tmp_path / "wh")
+    res = run_load(spark, raw, inst, wh)
+    w = WarehouseStore(spark, wh).read()
+    paths = export_extracts(w, str(tmp_path / "extracts"))
+    assert [Path(p).name for p in paths] == ["dim_sector", "dim_instrument", "dim_date", "fact_daily_price",
+                                             "etl_load_run", "etl_rejected_row"]
+    back = spark.read.option("header", True).csv(paths[3])
+    assert back.count() == res["rows_loaded"] and "close_price" in back.columns
+
