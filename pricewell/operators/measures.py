@@ -64,7 +64,8 @@ def latest_reject_counts(ledger: DataFrame, rejects: DataFrame) -> DataFrame:
     return (rejects.filter(F.col("load_run_id") == run_id)
             .select(F.explode(F.split("reject_reason", ";")).alias("reason"))
             .groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
-            .withColumn("reject_rate", rate))
+            .withColumn("reject_rate", rate)
+            .orderBy(F.desc("n"), "reason"))
 
 
 def sector_index(star: DataFrame) -> DataFrame:

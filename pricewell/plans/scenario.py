@@ -35,9 +35,13 @@ def full_load(spark: SparkSession, sf_dir: str) -> Batch:
 
 
 def split_files(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(all files but the newest, the two newest files), by file name order."""
-    newest = raw.agg(F.max("source_file")).scalar()
-    second = raw.filter(F.col("source_file") < newest).agg(F.max("source_file")).scalar()
+    """(all files but the newest, the two newest files), by file name order.
+
+    Both bounds come from the distinct file names (one small aggregate per bound).
+    """
+    files = raw.select("source_file").distinct()
+    newest = files.agg(F.max("source_file")).scalar()
+    second = files.orderBy(F.desc("source_file")).limit(2).agg(F.min("source_file")).scalar()
     return raw.filter(F.col("source_file") < newest), raw.filter(F.col("source_file") >= second)
 
 

@@ -41,9 +41,13 @@ LEDGER_SCHEMA = StructType([
 
 
 class WarehouseStore:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, cache_ledger: bool = False):
+        """``cache_ledger``: keep the ledger rows between reads until this store appends an
+        event. Only the (single) writer of a run should set it; readers see other writers'
+        events only without it."""
         self.spark = spark
         self.root = str(root).rstrip("/")
+        self._cache_ledger = cache_ledger
         self._ledger_cache: list | None = None
 
     def path(self, *parts) -> str:
@@ -65,9 +69,12 @@ class WarehouseStore:
 
     def ledger_rows(self) -> list:
         """The ledger on the driver: one small row per run, nothing else (read once per event)."""
-        if self._ledger_cache is None:
-            self._ledger_cache = sorted(self.ledger().collect(), key=lambda r: r.load_run_id)
-        return self._ledger_cache
+        if self._ledger_cache is not None:
+            return self._ledger_cache
+        rows = sorted(self.ledger().collect(), key=lambda r: r.load_run_id)
+        if self._cache_ledger:
+            self._ledger_cache = rows
+        return rows
 
     def append_event(self, run_id: int, status: str, started_at: dt.datetime, finished_at=None,
                      source_files=None, rows=(None, None, None), error_message=None, fact_map=None) -> None:
