@@ -28,14 +28,22 @@ from pricewell.sources.warehouse import WarehouseStore  # noqa: E402
 
 
 def summary(name: str, df, full: bool) -> None:
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    ex = re.findall(r"Exchange (\w+)(?:\(([^)]*)\))?", plan)
+    # The static plan (AQE off while planning this printout) shows exchange reuse; AQE's initial
+    # plan lists every branch's exchanges and only reuses them at run time.
+    spark = df.sparkSession
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    ex = re.findall(r"(?<!Reused)(?<!Broadcast)Exchange (\w+)(?:\(([^)]*)\))?", plan)
     joins = re.findall(r"(BroadcastHashJoin|SortMergeJoin|ShuffledHashJoin|BroadcastNestedLoopJoin|CartesianProduct)"
                        r" \[[^\]]*\], \[[^\]]*\], (\w+)", plan)
     print(f"== {name}")
     print(f"   exchanges: {len([e for e in ex if e[0] != 'SinglePartition'])} hash/range/rr, "
           f"{len([e for e in ex if e[0] == 'SinglePartition'])} single-partition "
           + "; ".join(f"{k}({v[:60]})" for k, v in ex))
+    print(f"   reused exchanges: {plan.count('ReusedExchange')}; scans of lineitem: {plan.count('lineitem.parquet')}")
     print(f"   joins: {joins}")
     print(f"   windows: {plan.count('Window [')}, aggregates: {plan.count('HashAggregate(')}")
     for m in re.finditer(r"FileScan (\w+) \[([^\]]*)\].*?PushedFilters: \[([^\]]*)\], ReadSchema: (struct<[^>]*>)",
