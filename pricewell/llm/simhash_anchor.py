@@ -2,12 +2,11 @@
 
 Each 64-bit fingerprint is cut into two 32-bit halves: two fingerprints that differ in at most 3
 bits have a half in which they differ in at most 1. In a half, the anchors are the words of a
-covering code: the perfect binary Golay code on 23 bits (covering radius 3) with all values of the
-other 9 bits. A fingerprint is replicated to every anchor within covering radius plus threshold
-that can be the nearest anchor of a fingerprint within the threshold: its own nearest anchor, and
-those it has after one bit is flipped (about 5 on the Golay part and 9 on the rest, so 15 a half).
-Of two fingerprints within 1 bit in a half, each therefore meets the other at its nearest anchor,
-where all 64 bits are compared. No link is missed, whatever the data.
+covering code: the perfect Hamming code on 31 bits (covering radius 1) with both values of the last
+bit, 2^27 anchors. A fingerprint is replicated to every anchor within covering radius plus
+threshold: the code words within 2 bits of its 31 bits, and its nearest one with the last bit
+flipped, about 17 a half. Of two fingerprints within 1 bit in a half, each therefore meets the other
+at its nearest anchor, where all 64 bits are compared. No link is missed, whatever the data.
 
 Groups are bounded: equal fingerprints are one row before the anchors, and an anchor's rows are
 dealt to cells of bounded size in which any two meet once. A cell returns the links of a spanning
@@ -81,65 +80,40 @@ def simhash(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(_fingerprints(shingle), "doc_id long, fp long")
 
 
-# Generator polynomial of the binary Golay code, x^11 + x^9 + x^7 + x^6 + x^5 + x + 1 (fixed value).
-GOLAY = 0b101011100011
-
-
-def golay_moves() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(syndrome of each 23-bit word's byte-wise parts is computed by the caller) For each of the
-    2048 syndromes: offsets, as flat lists, from a word to its nearest code word and to those that
-    are nearest after one more bit flips. Returns (bit syndromes, flat offsets, first of each)."""
-    bits = np.zeros(23, np.int64)
-    for i in range(23):
-        r = 1 << i
-        for j in range(22, 10, -1):
-            if r >> j & 1:
-                r ^= GOLAY << (j - 11)
-        bits[i] = r
-    leader = np.zeros(2048, np.int64)
-    for i in range(23):
-        leader[bits[i]] = 1 << i
-        for j in range(i):
-            leader[bits[i] ^ bits[j]] = 1 << i | 1 << j
-            for k in range(j):
-                leader[bits[i] ^ bits[j] ^ bits[k]] = 1 << i | 1 << j | 1 << k
+def hamming_moves() -> tuple[np.ndarray, np.ndarray]:
+    """(flat, first): for each of the 32 syndromes of the Hamming code on 31 bits, the differences
+    between a word of that syndrome and the code words within 2 bits of it, the nearest first.
+
+    The syndrome is the xor of the numbers (1 to 31) of the bits set; the code words have 0. A word
+    of syndrome s becomes one by flipping bit s, or two bits whose numbers have the xor s."""
     flat, first = [], [0]
-    for s in range(2048):
-        moves = {int(1 << i ^ leader[s ^ bits[i]]) for i in range(23)} - {int(leader[s])}
-        flat += [int(leader[s]), *sorted(moves)]
+    for s in range(32):
+        flat.append(1 << s >> 1 if s else 0)
+        flat += [1 << j - 1 | 1 << (j ^ s) - 1 for j in range(1, 32) if s and j < j ^ s]
         first.append(len(flat))
-    return bits, np.array(flat), np.array(first)
+    return np.array(flat), np.array(first)
 
 
-_TABLES: list = []
+FLAT, FIRST = hamming_moves()
+_SYNDROME = np.zeros((4, 256), np.int64)   # of each byte of a 31-bit word
+for _b in range(31):
+    _byte, _bit = divmod(_b, 8)
+    _SYNDROME[_byte] ^= np.where(np.arange(256) >> _bit & 1, _b + 1, 0)
 
 
 def anchors(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(row, anchor) of every replica of the fingerprints (uint64); anchors of the upper half have
     bit 32 set."""
-    if not _TABLES:
-        bits, flat, first = golay_moves()
-        words = np.zeros(1 << 12, np.int64), np.zeros(1 << 11, np.int64)
-        for table, shift in zip(words, (0, 12)):
-            for i in range(len(table).bit_length() - 1):
-                table[1 << i:2 << i] = table[:1 << i] ^ bits[shift + i]
-        _TABLES.append((words, flat, first))
-    (low, high), flat, first = _TABLES[0]
     rows, out = [], []
     for half in (0, 1):
         part = ((fp >> np.uint64(32 * half)) & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        word, rest = part & 0x7FFFFF, part >> 23
-        s = low[word & 0xFFF] ^ high[word >> 12]
-        n = first[s + 1] - first[s]
+        word, rest = part & 0x7FFFFFFF, part & 0x80000000 | half << 32
+        s = _SYNDROME[0][word & 255] ^ _SYNDROME[1][word >> 8 & 255] ^ _SYNDROME[2][word >> 16 & 255] ^ _SYNDROME[3][word >> 24]
+        n = FIRST[s + 1] - FIRST[s]
         row = np.repeat(np.arange(len(fp)), n)
-        at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first[s], n)
-        top = half << 32
-        rows.append(row)
-        out.append((word[row] ^ flat[at]) | rest[row] << 23 | top)
-        home = word ^ flat[first[s]]
-        for i in range(9):
-            rows.append(np.arange(len(fp)))
-            out.append(home | (rest ^ 1 << i) << 23 | top)
+        at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(FIRST[s], n)
+        rows += [row, np.arange(len(fp))]
+        out += [word[row] ^ FLAT[at] | rest[row], word ^ FLAT[FIRST[s]] | rest ^ 0x80000000]
     return np.concatenate(rows), np.concatenate(out)
 
 

@@ -35,10 +35,16 @@ def brute_components(items, linked):
     return [find(i) for i in range(len(items))]
 
 
-def test_golay_code_covers_within_three_bits():
-    bits, flat, first = op.golay_moves()
-    assert all(bin(int(flat[i])).count("1") <= 3 for i in first[:-1])
-    assert 5 < len(flat) / 2048 < 6
+def test_hamming_code_covers_within_one_bit():
+    words = np.random.default_rng(2).integers(0, 1 << 64, 2000, dtype=np.uint64)
+    row, anchor = op.anchors(words)
+    for half in (0, 1):
+        for r in range(0, 2000, 97):
+            own = [int(a) for a in anchor[(row == r) & (anchor >> 32 == half)]]
+            word = int(words[r]) >> 32 * half & 0xFFFFFFFF
+            far = sorted(bin((a & 0xFFFFFFFF) ^ word).count("1") for a in own)
+            assert far[0] <= 1 and far[-1] <= 2 and len(own) == len(set(own))
+    assert 31 < len(row) / 2000 < 34
 
 
 def test_any_two_within_three_bits_share_an_anchor():
