@@ -26,6 +26,17 @@ def safe_date(x) -> Column:
     return F.to_date(F.try_to_timestamp(_c(x), F.lit(DATE_FORMAT)))
 
 
+# Text formats of listing dates, tried in this order; the third takes what has no
+# such month.
+LISTING_FORMATS = ["yyyy-MM-dd", "M/d/yyyy", "d/M/yyyy", "yyyy/M/d", "yyyyMMdd", "d MMM yyyy", "MMM d, yyyy"]
+
+
+def lenient_date(x) -> Column:
+    """A date in any of ``LISTING_FORMATS``, month before day where both fit; else NULL."""
+    text = F.trim(_c(x))
+    return F.coalesce(*[F.to_date(F.try_to_timestamp(text, F.lit(f))) for f in LISTING_FORMATS])
+
+
 def finite_or_null(x: Column) -> Column:
     """NaN and +-Infinity become NULL, so a non-finite price counts as a missing value."""
     return F.when(F.isnan(x) | (F.abs(x) == F.lit(float("inf"))), F.lit(None).cast("double")).otherwise(x)

@@ -1,42 +1,10 @@
-"""Join helpers: broadcast only behind a measured size bound, and distributed ordered keys."""
+"""Distributed ordered keys."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Largest side we broadcast, in rows. A lookup row here is a key plus a few short strings
-# (< 200 bytes), so the bound keeps a broadcast well under 100 MB per executor.
-BROADCAST_MAX_ROWS = 500_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, bound: DataFrame | None = None) -> DataFrame:
-    """Mark ``df`` for broadcast only if it has at most ``max_rows`` rows.
-
-    The check runs ``limit(max_rows + 1).count()``, which stops early. When ``df`` is expensive
-    to compute, pass ``bound``: a cheap DataFrame that has at least as many rows as ``df`` by
-    construction (e.g. the instrument reference for a one-row-per-instrument table); it is
-    counted instead. Above the bound the plain DataFrame is returned and the join falls back to
-    a shuffle join, where AQE can still split skewed partitions.
-    """
-    n = (bound if bound is not None else df).limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def broadcast_bounded(df: DataFrame) -> DataFrame:
-    """Broadcast a table whose size is bounded by construction, not by the data volume:
-    the calendar dimension (at most 366 rows per year of history) and the run ledger (one row
-    per load run). Callers name the bound where they use it."""
-    return F.broadcast(df)
-
-
-def spread_small_scan(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that arrives in fewer splits than the cluster has task slots.
-
-    A large input is read in many splits and is returned unchanged; a small file with one row
-    group would otherwise push all per-row work before the first shuffle through one task.
-    """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+from ..session import ensure_checkpoint_dir
 
 
 def with_ordered_index(df: DataFrame, order_cols: list[str], name: str, start=0) -> DataFrame:
@@ -49,10 +17,9 @@ def with_ordered_index(df: DataFrame, order_cols: list[str], name: str, start=0)
 
     The checkpoint matters: range bounds come from sampling, so two separate executions of the
     range exchange could split rows differently; both the counts and the final rows must see the
-    same partitions, so they are both read from the one checkpoint. ``order_cols`` must be unique.
-    ``start`` may be a Column (e.g. a scalar subquery on the current maximum key) or an int.
+    same partitions. It runs when this is called, so only the load job calls it, never a query.
+    ``order_cols`` must be unique. ``start`` may be a Column (e.g. a scalar subquery) or an int.
     """
-    from ..session import ensure_checkpoint_dir
     ensure_checkpoint_dir(df.sparkSession)
     mask = (1 << 33) - 1
     ranged = (df.repartitionByRange(*order_cols).sortWithinPartitions(*order_cols)

@@ -21,26 +21,25 @@ def basic_measures(star: DataFrame, keys: list[str]) -> DataFrame:
                  F.sum(F.col("close_price") * F.col("volume")).alias("traded_value")))
 
 
-def latest_value(star: DataFrame, keys: list[str], value: str, alias: str) -> DataFrame:
-    """The largest ``value`` on the context's last ``date_key`` (NULL values ignored if the
-    last date has any non-NULL one). One aggregate: ``max(struct(date_key, value))``."""
-    return (star.groupBy(*keys)
-            .agg(F.max(F.struct("date_key", value)).alias("_m"))
-            .select(*keys, F.col("_m.date_key").alias("last_date_key"), F.col(f"_m.{value}").alias(alias)))
+def latest_values(star: DataFrame, keys: list[str], **values: str) -> DataFrame:
+    """Per context its last ``date_key`` as last_date_key, and on that day the largest of each
+    column named in ``values`` (alias -> column). The day is a hash aggregate on one integer; its
+    small result is joined back."""
+    last = star.groupBy(*keys).agg(F.max("date_key").alias("date_key"))
+    rows = star.select(*keys, "date_key", *dict.fromkeys(values.values())).join(last, [*keys, "date_key"])
+    return (rows.groupBy(*keys, "date_key").agg(*[F.max(column).alias(alias) for alias, column in values.items()])
+            .withColumnRenamed("date_key", "last_date_key"))
 
 
 def latest_close(star: DataFrame, keys: list[str]) -> DataFrame:
     """Latest Close per context."""
-    return latest_value(star, keys, "close_price", "latest_close")
+    return latest_values(star, keys, latest_close="close_price")
 
 
 def price_vs_ma50(star: DataFrame, keys: list[str]) -> DataFrame:
     """Price vs MA50 %: latest close / latest 50-day average - 1 (NULL when the average is)."""
-    m = (star.groupBy(*keys)
-         .agg(F.max(F.struct("date_key", "close_price")).alias("_c"),
-              F.max(F.struct("date_key", "ma_50")).alias("_a")))
-    return m.select(*keys, F.col("_c.date_key").alias("last_date_key"),
-                    (F.try_divide(F.col("_c.close_price"), F.col("_a.ma_50")) - 1).alias("price_vs_ma50"))
+    last = latest_values(star, keys, _close="close_price", _average="ma_50")
+    return last.select(*keys, "last_date_key", (F.try_divide("_close", "_average") - 1).alias("price_vs_ma50"))
 
 
 def latest_run_card(ledger: DataFrame, rejects: DataFrame) -> DataFrame:
@@ -90,10 +89,9 @@ def sector_stats(star: DataFrame) -> DataFrame:
 
 
 def instrument_drilldown(star: DataFrame, ticker: str | None = None, days: int = 365) -> DataFrame:
-    """Close and moving averages over each instrument's trailing ``days`` (or one ticker's)."""
-    s = star if ticker is None else star.filter(F.col("ticker") == ticker)
-    w = Window.partitionBy("ticker")
-    return (s.select("ticker", "sector_name", "full_date", "close_price", "ma_20", "ma_50")
-            .withColumn("_last", F.max("full_date").over(w))
-            .filter(F.col("full_date") >= F.date_sub(F.col("_last"), days))
-            .drop("_last"))
+    """Close and moving averages over each instrument's trailing ``days`` (or one ticker's): the
+    last day of each is a grouped maximum, joined back."""
+    rows = star if ticker is None else star.filter(F.col("ticker") == ticker)
+    last = rows.groupBy("ticker").agg(F.max("full_date").alias("_last"))
+    return (rows.select("ticker", "sector_name", "full_date", "close_price", "ma_20", "ma_50").join(last, "ticker")
+            .filter(F.col("full_date") >= F.date_sub(F.col("_last"), days)).drop("_last"))

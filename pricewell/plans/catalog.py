@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 from ..functions import normalise_ticker, safe_date
 from ..operators import measures as M
 from ..operators.metrics import add_rolling_metrics, sector_daily
-from ..operators.quality import (CONFLICTING_DUPLICATE, EXACT_DUPLICATE, REJECT_COLS, reject_counts,
-                                 rule_flags, source_files, staging_totals, type_rows, validate)
-from ..operators.star import integrity_checks, normalise_reference, replaced_ranges
+from ..operators.quality import (CONFLICTING_DUPLICATE, EXACT_DUPLICATE, REJECT_COLS, parse_feed, reject_counts,
+                                 rule_flags, source_files, staging_totals, validate)
+from ..operators.star import FACT_COLS, integrity_checks, normalise_reference, replaced_ranges
+from ..sources.feed import subset
 from . import views as V
 from .scenario import full_load, tape, two_runs
 
@@ -58,7 +59,7 @@ def q_safe_date(spark, d):
 
 def q_safe_numeric(spark, d):
     raw, _ = tape(spark, d)
-    return type_rows(raw).select("source_file", "raw_record", "open", "high", "low", "close", "volume")
+    return parse_feed(raw).select("source_file", "raw_record", "open", "high", "low", "close", "volume")
 
 
 def q_rule_flags(spark, d):
@@ -114,8 +115,8 @@ def q_ticker_subset(spark, d):
     ref = normalise_reference(inst)
     first_sector = ref.agg(F.min("sector")).scalar()
     wanted = ref.filter(F.col("sector") == first_sector).select("ticker")
-    raw_sub = raw.join(wanted, normalise_ticker(raw["ticker"]) == wanted["ticker"], "left_semi")
-    ref_sub = ref.join(wanted, "ticker", "left_semi")
+    raw_sub, inst_sub = subset(raw, inst, wanted)
+    ref_sub = normalise_reference(inst_sub)
     m = add_rolling_metrics(validate(raw_sub, ref_sub).clean)
     return rounded(m.select("ticker", "trade_date", "close", "daily_return", "ma_20", "ma_50", "volatility_20d"))
 
@@ -153,7 +154,7 @@ def q_sector_daily(spark, d):
 # ---------------------------------------------------------------- star schema (one full run)
 
 def _wh(spark, d):
-    return full_load(spark, d).warehouse
+    return full_load(spark, d).read()
 
 
 def q_dim_sector(spark, d):
@@ -169,7 +170,7 @@ def q_dim_date(spark, d):
 
 
 def q_fact_load(spark, d):
-    return rounded(full_load(spark, d).new_fact)
+    return rounded(_wh(spark, d).fact_daily_price.select(*FACT_COLS))
 
 
 def q_star_join(spark, d):
@@ -180,29 +181,27 @@ def q_star_join(spark, d):
 # ---------------------------------------------------------------- two runs (insert-if-absent, replace)
 
 def q_dim_insert_if_absent(spark, d):
-    b1, b2 = two_runs(spark, d)
-
-    def tagged(b, run):
-        return (b.new_sector.select(F.lit("dim_sector").alias("dim"), F.col("sector_name").alias("natural_key"),
-                                    F.col("sector_key").alias("surrogate_key"))
-                .unionByName(b.new_instrument.select(F.lit("dim_instrument").alias("dim"),
-                                                     F.col("ticker").alias("natural_key"),
-                                                     F.col("instrument_key").alias("surrogate_key")))
-                .unionByName(b.new_date.select(F.lit("dim_date").alias("dim"),
-                                               F.col("full_date").cast("string").alias("natural_key"),
-                                               F.col("date_key").alias("surrogate_key")))
-                .withColumn("inserted_by_run", F.lit(run)))
-    return tagged(b1, 1).unionByName(tagged(b2, 2))
+    store = two_runs(spark, d)
+    dims = {"dim_sector": ("sector_name", "sector_key"), "dim_instrument": ("ticker", "instrument_key"),
+            "dim_date": ("full_date", "date_key")}
+    parts = [store.read_run_table(dim, run).select(F.lit(dim).alias("dim"), F.col(natural).cast("string").alias("natural_key"),
+                                                   F.col(key).alias("surrogate_key"), F.lit(run).alias("inserted_by_run"))
+             for run in store.committed_runs() for dim, (natural, key) in dims.items()]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
 
 
 def q_scan_fact(spark, d):
-    return rounded(two_runs(spark, d)[1].warehouse.fact_daily_price)
+    return rounded(two_runs(spark, d).read().fact_daily_price.select(*FACT_COLS))
 
 
 def q_range_replace(spark, d):
-    b1, b2 = two_runs(spark, d)
-    ranges = replaced_ranges(b2.new_fact)
-    old = b1.warehouse.fact_daily_price.select(F.col("instrument_key").alias("_ik"), F.col("date_key").alias("_dk"))
+    store = two_runs(spark, d)
+    newest = store.committed_runs()[-1]
+    ranges = replaced_ranges(store.read().fact_daily_price.filter(F.col("load_run_id") == newest))
+    old = store.read(as_of=newest - 1).fact_daily_price.select(F.col("instrument_key").alias("_ik"), F.col("date_key").alias("_dk"))
     replaced = (old.join(ranges, (old["_ik"] == ranges["instrument_key"])
                          & old["_dk"].between(ranges["_lo"], ranges["_hi"]))
                 .groupBy("instrument_key").agg(F.count(F.lit(1)).alias("rows_replaced")))
@@ -213,29 +212,41 @@ def q_range_replace(spark, d):
 
 
 def q_integrity_checks(spark, d):
-    wh = two_runs(spark, d)[1].warehouse
-    return integrity_checks(wh.fact_daily_price, wh.dim_date, wh.dim_instrument, wh.etl_load_run)
+    wh = two_runs(spark, d).read()
+    return integrity_checks(wh.fact_daily_price, wh.dim_date, wh.dim_instrument, wh.dim_sector, wh.etl_load_run, wh.etl_rejected_row)
 
 
 def q_data_quality(spark, d):
-    return rounded(V.data_quality(two_runs(spark, d)[1].warehouse))
+    return rounded(V.data_quality(two_runs(spark, d).read()))
 
 
 def q_trace_run(spark, d):
-    return V.trace_run(two_runs(spark, d)[1].warehouse)
+    return V.trace_run(two_runs(spark, d).read())
+
+
+def q_trace_files(spark, d):
+    """The runs and files behind every price of the newest day."""
+    wh = two_runs(spark, d).read()
+    return V.trace_files(wh, date_key=wh.dim_date.agg(F.max("date_key")).scalar())
+
+
+def q_stored_rejects(spark, d):
+    """The stored reject table; reject_id is unique in its run, so it shows as a count."""
+    rejects = two_runs(spark, d).read().etl_rejected_row
+    return rejects.groupBy("load_run_id", *REJECT_COLS).agg(F.count_distinct("reject_id").alias("reject_ids"))
 
 
 def q_reject_drilldown(spark, d):
-    return V.reject_drilldown(two_runs(spark, d)[1].warehouse)
+    return V.reject_drilldown(two_runs(spark, d).read())
 
 
 def q_latest_run(spark, d):
-    wh = two_runs(spark, d)[1].warehouse
+    wh = two_runs(spark, d).read()
     return rounded(M.latest_run_card(wh.etl_load_run, wh.etl_rejected_row))
 
 
 def q_latest_reject_counts(spark, d):
-    wh = two_runs(spark, d)[1].warehouse
+    wh = two_runs(spark, d).read()
     return rounded(M.latest_reject_counts(wh.etl_load_run, wh.etl_rejected_row))
 
 
@@ -341,6 +352,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "golden_crosses": q_golden_crosses,
     "most_volatile": q_most_volatile,
     "trace_run": q_trace_run,
+    "trace_files": q_trace_files,
+    "stored_rejects": q_stored_rejects,
     "reject_drilldown": q_reject_drilldown,
     "drilldown_rollup": q_drilldown_rollup,
     "calendar_rollup": q_calendar_rollup,

@@ -1,26 +1,14 @@
-"""One load run as a pure DataFrame transformation.
-
-``load_batch`` takes the warehouse as it is (or ``None``) and a raw batch, and returns the
-warehouse as it will be after the run, all lazily. The Parquet store (``sources.warehouse``)
-persists exactly these DataFrames; the analytical queries run on them directly.
-"""
+"""The tables of the warehouse."""
 from __future__ import annotations
 
-import datetime as dt
-from collections.abc import Callable
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from ..operators.metrics import add_rolling_metrics
-from ..operators.quality import REJECT_COLS, Staging, validate
-from ..operators.star import (dim_date_new, dim_instrument_new, dim_sector_new, fact_rows,
-                              normalise_reference, range_replace)
 
-LEDGER_COLS = ["load_run_id", "started_at", "finished_at", "status", "source_files", "rows_read",
-               "rows_loaded", "rows_rejected", "error_message"]
-REJECT_TABLE_COLS = ["load_run_id"] + REJECT_COLS
+LEDGER_COLS = ["load_run_id", "started_at", "finished_at", "status", "rows_read", "rows_loaded",
+               "rows_rejected", "error_message"]
+TABLES = ["dim_sector", "dim_instrument", "dim_date", "fact_daily_price", "etl_load_run", "etl_run_file",
+          "etl_rejected_row"]
 
 
 @dataclass
@@ -28,99 +16,7 @@ class Warehouse:
     dim_sector: DataFrame
     dim_instrument: DataFrame
     dim_date: DataFrame
-    fact_daily_price: DataFrame
-    etl_load_run: DataFrame
+    fact_daily_price: DataFrame   # with the partition columns fact_year and fact_bucket
+    etl_load_run: DataFrame       # every run: RUNNING, SUCCEEDED and FAILED
+    etl_run_file: DataFrame       # the files of each run, one row each
     etl_rejected_row: DataFrame
-
-    def register(self, prefix: str = "") -> None:
-        """Expose the six tables as temp views (``prefix`` + table name)."""
-        for name in TABLES:
-            getattr(self, name).createOrReplaceTempView(prefix + name)
-
-
-TABLES = ["dim_sector", "dim_instrument", "dim_date", "fact_daily_price", "etl_load_run", "etl_rejected_row"]
-
-
-@dataclass
-class Batch:
-    """Everything one run derives from its raw batch (all lazy)."""
-    run_id: int
-    staging: Staging
-    metrics: DataFrame        # clean rows + rolling metrics
-    new_sector: DataFrame
-    new_instrument: DataFrame
-    new_date: DataFrame
-    new_fact: DataFrame
-    rejects: DataFrame        # REJECT_TABLE_COLS
-    ledger_row: DataFrame     # one row, LEDGER_COLS
-    warehouse: Warehouse      # state after the run
-
-
-def ledger_row(staging: Staging, new_fact: DataFrame, run_id: int, started_at: dt.datetime,
-               finished_at: dt.datetime, status: str = "SUCCEEDED") -> DataFrame:
-    """The ledger row of a finished run, from one aggregate over the run's outputs.
-
-    ``source_files`` is the sorted, comma-joined list of files in the batch; it is as long as the
-    file list, which is ledger-sized by design.
-    """
-    zero = F.lit(0).cast("bigint")
-    none = F.lit(None).cast("string")
-    marks = (staging.staged.select(F.col("source_file"), F.col("_copies").alias("_r"), zero.alias("_l"),
-                                   zero.alias("_j"))
-             .unionByName(new_fact.select(none.alias("source_file"), zero.alias("_r"),
-                                          F.lit(1).cast("bigint").alias("_l"), zero.alias("_j")))
-             .unionByName(staging.rejects.select(none.alias("source_file"), zero.alias("_r"), zero.alias("_l"),
-                                                 F.lit(1).cast("bigint").alias("_j"))))
-    return ledger_from_totals(
-        marks.agg(F.array_join(F.array_sort(F.collect_set("source_file")), ",").alias("source_files"),
-                  F.sum("_r").cast("bigint").alias("rows_read"),
-                  F.sum("_l").cast("bigint").alias("rows_loaded"),
-                  F.sum("_j").cast("bigint").alias("rows_rejected")),
-        run_id, started_at, finished_at, status)
-
-
-def ledger_from_totals(totals: DataFrame, run_id: int, started_at, finished_at, status: str,
-                       error_message: str | None = None) -> DataFrame:
-    """Ledger row from a one-row DataFrame holding source_files and the three row counts."""
-    return totals.select(
-        F.lit(run_id).cast("int").alias("load_run_id"),
-        F.lit(started_at).cast("timestamp").alias("started_at"),
-        F.lit(finished_at).cast("timestamp").alias("finished_at"),
-        F.lit(status).alias("status"),
-        "source_files", "rows_read", "rows_loaded", "rows_rejected",
-        F.lit(error_message).cast("string").alias("error_message"))
-
-
-def load_batch(raw: DataFrame, instruments: DataFrame, run_id: int, before: Warehouse | None,
-               started_at: dt.datetime, finished_at: dt.datetime,
-               materialize: Callable[[DataFrame], DataFrame] | None = None) -> Batch:
-    """Validate, enrich and merge one raw batch into the warehouse ``before`` (None = empty).
-
-    ``materialize`` (e.g. a checkpoint) is applied to the two intermediates every output reads:
-    the staging table and the new fact rows.
-    """
-    keep = materialize or (lambda df: df)
-    reference = normalise_reference(instruments)
-    staging = validate(raw, reference, materialize=materialize)
-    metrics = add_rolling_metrics(staging.clean)
-
-    new_sector = dim_sector_new(reference, before.dim_sector if before else None)
-    dim_sector = before.dim_sector.unionByName(new_sector) if before else new_sector
-    new_instrument = dim_instrument_new(reference, dim_sector, before.dim_instrument if before else None)
-    dim_instrument = before.dim_instrument.unionByName(new_instrument) if before else new_instrument
-    new_date = dim_date_new(staging.clean, before.dim_date if before else None)
-    dim_date = before.dim_date.unionByName(new_date) if before else new_date
-
-    new_fact = keep(fact_rows(metrics, dim_instrument, run_id))
-    fact = range_replace(before.fact_daily_price, new_fact, reference) if before else new_fact
-    rejects = staging.rejects.select(F.lit(run_id).cast("int").alias("load_run_id"), *REJECT_COLS)
-    row = ledger_row(staging, new_fact, run_id, started_at, finished_at)
-    ledger = before.etl_load_run.unionByName(row) if before else row
-    rejected = before.etl_rejected_row.unionByName(rejects) if before else rejects
-
-    after = Warehouse(dim_sector, dim_instrument, dim_date, fact, ledger, rejected)
-    return Batch(run_id, staging, metrics, new_sector, new_instrument, new_date, new_fact, rejects, row, after)
-
-
-def with_tables(wh: Warehouse, **tables: DataFrame) -> Warehouse:
-    return replace(wh, **tables)

@@ -24,14 +24,16 @@ SCHEMAS: dict[str, StructType] = {
                            ("volatility_20d", DBL), ("load_run_id", INT)),
     # Row counts are 64-bit: a run at scale reads more than 2^31 rows.
     "etl_load_run": _s(("load_run_id", INT), ("started_at", TimestampType()), ("finished_at", TimestampType()),
-                       ("status", STR), ("source_files", STR), ("rows_read", LONG), ("rows_loaded", LONG),
+                       ("status", STR), ("rows_read", LONG), ("rows_loaded", LONG),
                        ("rows_rejected", LONG), ("error_message", STR)),
+    # One row per file of a run; the ledger row holds no list.
+    "etl_run_file": _s(("load_run_id", INT), ("source_file", STR)),
     # reject_id is unique within its run; (load_run_id, reject_id) is the table key.
     "etl_rejected_row": _s(("reject_id", LONG), ("load_run_id", INT), ("source_file", STR), ("ticker", STR),
                            ("trade_date_raw", STR), ("reject_reason", STR), ("raw_record", STR)),
 }
 
 
-def with_year(schema: StructType) -> StructType:
-    """A copy of ``schema`` plus the ``year`` partition column."""
-    return StructType(list(schema.fields) + [StructField("year", INT, True)])
+def with_parts(schema: StructType) -> StructType:
+    """A copy of ``schema`` plus the partition columns of the fact table."""
+    return StructType([*schema.fields, StructField("fact_year", INT, True), StructField("fact_bucket", INT, True)])

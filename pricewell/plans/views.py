@@ -1,49 +1,51 @@
 """BI views and analytical queries over the star schema, as DataFrame plans.
 
-Dimension tables go through :func:`broadcast_if_small`; the fact table is never broadcast.
-Every function takes a :class:`~pricewell.plans.load.Warehouse` and returns a lazy DataFrame.
+No join is hinted: dimension tables are read from files, so Spark knows their sizes and broadcasts
+what is below the session's threshold; above it AQE decides. Every function takes a
+:class:`~pricewell.plans.load.Warehouse` and returns a lazy DataFrame.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import guarded_ratio
-from ..operators.joins import broadcast_bounded, broadcast_if_small
 from ..operators.metrics import TRADING_DAYS
 from .load import Warehouse
 
 
 def _dims(wh: Warehouse):
-    inst = broadcast_if_small(wh.dim_instrument.select("instrument_key", "ticker", "company_name"))
-    sec = broadcast_if_small(wh.dim_sector.select("sector_key", "sector_name"))
-    day = broadcast_bounded(wh.dim_date)  # calendar: at most 366 rows per year
-    return inst, sec, day
+    return (wh.dim_instrument.select("instrument_key", "ticker", "company_name"),
+            wh.dim_sector.select("sector_key", "sector_name"), wh.dim_date)
 
 
-def star(wh: Warehouse) -> DataFrame:
+def fact_rows_between(wh: Warehouse, first: Column, last: Column) -> DataFrame:
+    """Fact rows with date keys from ``first`` to ``last``: the year folders are pruned, the row
+    groups by the key's statistics. The bounds may be scalar subqueries."""
+    fact = wh.fact_daily_price
+    return fact.filter(F.col("fact_year").between((first / 10000).cast("int"), (last / 10000).cast("int"))
+                       & F.col("date_key").between(first, last))
+
+
+def star(wh: Warehouse, fact: DataFrame | None = None) -> DataFrame:
     """Fact joined to instrument, sector and date (inner): the dashboard's fact set."""
     inst, sec, day = _dims(wh)
-    return (wh.fact_daily_price.join(inst, "instrument_key").join(sec, "sector_key")
+    fact = (wh.fact_daily_price if fact is None else fact).drop("fact_year", "fact_bucket")
+    return (fact.join(inst, "instrument_key").join(sec, "sector_key")
             .join(day.select("date_key", "full_date", "year", "quarter", "month"), "date_key"))
 
 
 def instrument_latest(wh: Warehouse) -> DataFrame:
     """vw_instrument_latest: per instrument its newest fact row.
 
-    The per-key MAX subquery becomes one aggregate, ``max(struct(date_key, ...))``, which has
-    a map-side partial step; the fact key is unique, so the struct with the largest date_key
-    is exactly the newest row.
+    The newest date of each instrument is a hash aggregate on one integer; its result, a row per
+    instrument, is joined back to the fact on the fact's key.
     """
-    cols = ["close_price", "daily_return", "ma_20", "ma_50", "volatility_20d", "sector_key"]
-    latest = (wh.fact_daily_price.groupBy("instrument_key")
-              .agg(F.max(F.struct("date_key", *cols)).alias("_r"))
-              .select("instrument_key", "_r.*"))
-    inst, sec, day = _dims(wh)
-    return (latest.join(inst, "instrument_key").join(sec, "sector_key")
-            .join(day.select("date_key", "full_date"), "date_key")
-            .select("ticker", "company_name", "sector_name", "full_date", "close_price", "daily_return",
-                    "ma_20", "ma_50", "volatility_20d"))
+    fact = wh.fact_daily_price
+    newest = fact.groupBy("instrument_key").agg(F.max("date_key").alias("date_key"))
+    rows = fact.join(newest, ["instrument_key", "date_key"])
+    return star(wh, rows).select("ticker", "company_name", "sector_name", "full_date", "close_price", "daily_return",
+                                 "ma_20", "ma_50", "volatility_20d")
 
 
 def sector_monthly(wh: Warehouse) -> DataFrame:
@@ -70,21 +72,15 @@ def sector_year_return(wh: Warehouse) -> DataFrame:
             .orderBy("year", F.desc("annualised_return")))
 
 
-def golden_crosses(wh: Warehouse, digits: int = 6) -> DataFrame:
-    """Every day the 20-day average closes above the 50-day average after being at or below it
-    on the instrument's previous fact row.
-
-    The previous row comes from ``lag`` over (instrument, date) instead of a self-join with a
-    correlated MAX. Averages are compared after rounding to ``digits`` decimals so float
-    summation noise cannot turn a tie into a cross.
-    """
-    w = Window.partitionBy("instrument_key").orderBy("date_key")
-    f = (wh.fact_daily_price.select("instrument_key", "date_key", "close_price",
-                                    F.round("ma_20", digits).alias("ma_20"), F.round("ma_50", digits).alias("ma_50"))
-         .withColumn("_p20", F.lag("ma_20").over(w)).withColumn("_p50", F.lag("ma_50").over(w))
-         .filter((F.col("ma_20") > F.col("ma_50")) & (F.col("_p20") <= F.col("_p50"))))
+def golden_crosses(wh: Warehouse) -> DataFrame:
+    """Every day the 20-day average is above the 50-day average after being at or below it on the
+    instrument's previous fact row; the stored averages are compared as they are."""
+    series = Window.partitionBy("instrument_key").orderBy("date_key")
+    above = F.col("ma_20") > F.col("ma_50")
+    rows = (wh.fact_daily_price.select("instrument_key", "date_key", "close_price", "ma_20", "ma_50")
+            .withColumn("_was_above", F.lag(above).over(series)).filter(above & ~F.col("_was_above")))
     inst, _, day = _dims(wh)
-    return (f.join(inst, "instrument_key").join(day.select("date_key", "full_date"), "date_key")
+    return (rows.join(inst, "instrument_key").join(day.select("date_key", "full_date"), "date_key")
             .select("ticker", "full_date", "close_price", "ma_20", "ma_50"))
 
 
@@ -93,35 +89,46 @@ def golden_cross(wh: Warehouse, top: int = 20) -> DataFrame:
     return golden_crosses(wh).orderBy(F.desc("full_date"), "ticker").limit(top)
 
 
-def latest_quarter(wh: Warehouse):
-    """(year, quarter) of the newest fact date, as scalar-subquery columns."""
-    newest = wh.fact_daily_price.agg(F.to_date(F.max("date_key").cast("string"), "yyyyMMdd").alias("d"))
-    return newest.select(F.year("d")).scalar(), newest.select(F.quarter("d")).scalar()
+def quarter_bounds(wh: Warehouse, year: int | None = None, quarter: int | None = None) -> tuple[Column, Column]:
+    """First and last date key of a quarter, by default the newest in the calendar dimension (it
+    holds the days of the facts, so the fact is not read for it)."""
+    if year is not None and quarter is not None:
+        return F.lit(year * 10000 + quarter * 300 - 199), F.lit(year * 10000 + quarter * 300 + 31)
+    days = wh.dim_date
+    if year is not None:
+        days = days.filter(F.col("year") == year)
+    if quarter is not None:
+        days = days.filter(F.col("quarter") == quarter)
+    at = days.agg(F.max(F.col("year") * 10 + F.col("quarter")).alias("q"))
+    start = (F.floor(F.col("q") / 10) * 10000 + (F.col("q") % 10) * 300).cast("int")
+    return at.select(start - 199).scalar(), at.select(start + 31).scalar()
 
 
 def most_volatile(wh: Warehouse, year=None, quarter=None, top: int = 10) -> DataFrame:
     """Top instruments by average volatility in one quarter (default: newest in the data)."""
-    if year is None or quarter is None:
-        y, q = latest_quarter(wh)
-        year, quarter = (F.lit(year) if year is not None else y), (F.lit(quarter) if quarter is not None else q)
-    else:
-        year, quarter = F.lit(year), F.lit(quarter)
-    s = star(wh).filter((F.col("year") == year) & (F.col("quarter") == quarter))
-    return (s.groupBy("ticker", "sector_name").agg(F.avg("volatility_20d").alias("avg_vol"))
-            .orderBy(F.desc_nulls_last(F.round("avg_vol", 8)), "ticker").limit(top))
-
-
-def trace_run(wh: Warehouse, ticker: str | None = None, date_key: int | None = None) -> DataFrame:
-    """Traceability: the run and source files behind each fact row (optionally one row)."""
-    f = wh.fact_daily_price.select("instrument_key", "date_key", "load_run_id")
+    rows = star(wh, fact_rows_between(wh, *quarter_bounds(wh, year, quarter)))
+    return (rows.groupBy("ticker", "sector_name").agg(F.avg("volatility_20d").alias("avg_vol"))
+            .orderBy(F.desc_nulls_last("avg_vol"), "ticker").limit(top))
+
+
+def trace_run(wh: Warehouse, ticker: str | None = None, date_key: int | Column | None = None) -> DataFrame:
+    """Traceability: the run behind each fact row asked for, and when it finished."""
+    fact = wh.fact_daily_price
     if date_key is not None:
-        f = f.filter(F.col("date_key") == date_key)
+        day = F.lit(date_key) if isinstance(date_key, int) else date_key
+        fact = fact_rows_between(wh, day, day)
     inst, _, _ = _dims(wh)
-    runs = broadcast_bounded(wh.etl_load_run.select("load_run_id", "finished_at", "source_files"))  # one row per run
-    out = f.join(runs, "load_run_id").join(inst, "instrument_key")
     if ticker is not None:
-        out = out.filter(F.col("ticker") == ticker)
-    return out.select("ticker", "date_key", "load_run_id", "finished_at", "source_files")
+        inst = inst.filter(F.col("ticker") == ticker)
+    return (fact.select("instrument_key", "date_key", "load_run_id").join(inst, "instrument_key")
+            .join(wh.etl_load_run.select("load_run_id", "finished_at"), "load_run_id")
+            .select("ticker", "date_key", "load_run_id", "finished_at"))
+
+
+def trace_files(wh: Warehouse, ticker: str | None = None, date_key: int | Column | None = None) -> DataFrame:
+    """The runs behind the fact rows asked for, one row per run and file it read."""
+    runs = trace_run(wh, ticker, date_key).select("load_run_id", "finished_at").distinct()
+    return runs.join(wh.etl_run_file, "load_run_id").select("load_run_id", "finished_at", "source_file")
 
 
 def latest_successful_run(wh: Warehouse):

@@ -19,8 +19,6 @@ BASE_CONF = {
     "spark.sql.parquet.compression.codec": "zstd",
     # Checkpoint files of DataFrames that are gone are deleted, so repeated runs do not fill the folder.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
-    # Window over a few dozen rows per key; keep the sort-based window path from spilling early.
-    "spark.sql.windowExec.buffer.spill.threshold": "1048576",
 }
 
 

@@ -11,6 +11,7 @@ Fixed values (must stay equal across engines, see FIXTURES.md section 2):
     px = 100 + (l_extendedprice as decimal(12,2)) % 10 ; open = px
     close = px + (l_linenumber - 4) * 0.25
     h % 257 = 0 -> ticker 'ZZZZ'                     (unknown_instrument)
+    h % 241 = 0 -> ticker of two blanks              (unknown_instrument)
     h % 5   = 0 -> ticker ' ' || lower(s_name) || ' ' (normalised, still good)
     h % 263 = 0 -> trade_date '31/13/2021'           (unparseable_date)
     h % 199 = 0 -> high and low crossed              (ohlc_inconsistent)
@@ -27,9 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import raw_record
-from ..operators.joins import broadcast_if_small, spread_small_scan
-
-RAW_COLUMNS = ["ticker", "trade_date", "open", "high", "low", "close", "volume"]
+from .feed import RAW_COLUMNS
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,10 +38,9 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def tape_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw feed: the 7 text columns plus ``source_file`` and ``raw_record``."""
     supplier = _table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
-    li = (spread_small_scan(_table(spark, sf_dir, "lineitem")
-                            .select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-                                    "l_extendedprice", "l_shipdate"))
-          .join(broadcast_if_small(supplier), F.col("l_suppkey") == F.col("s_suppkey"))
+    li = (_table(spark, sf_dir, "lineitem")
+          .select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate")
+          .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
           .select(
               "s_name", "l_linenumber",
               F.col("l_shipdate").cast("date").alias("dt"),
@@ -58,6 +56,7 @@ def tape_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = li.select(
         h,
         F.when(h % 257 == 0, F.lit("ZZZZ"))
+         .when(h % 241 == 0, F.lit("  "))
          .when(h % 5 == 0, F.concat(F.lit(" "), F.lower("s_name"), F.lit(" ")))
          .otherwise(F.col("s_name")).alias("ticker"),
         F.when(h % 263 == 0, F.lit("31/13/2021")).otherwise(F.col("dt").cast("string")).alias("trade_date"),
@@ -80,8 +79,9 @@ def tape_instruments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Instrument reference, all text like a headered CSV:
     ticker, company_name, sector, exchange, listing_date.
 
-    The listing date is derived from the supplier key; every 11th is blank and every 13th is
-    written in a foreign format, so the nullable parse of ``dim_instrument`` is exercised.
+    The listing date is derived from the supplier key; every 11th is blank and every 13th is written
+    day first. Every 17th supplier has no sector (NULL or a blank), and every 19th is listed a second
+    time without a ticker (NULL or blanks).
     """
     supplier = _table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     nation = _table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
@@ -89,12 +89,13 @@ def tape_instruments(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("s_suppkey")
     listed = F.date_add(F.lit("1994-01-03").cast("date"), (k % 365).cast("int"))
     return (supplier
-            .join(broadcast_if_small(nation), F.col("s_nationkey") == F.col("n_nationkey"))
-            .join(broadcast_if_small(region), F.col("n_regionkey") == F.col("r_regionkey"))
+            .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+            .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
             .select(
-                F.col("s_name").alias("ticker"),
+                F.explode(F.when(k % 38 == 0, F.array("s_name", F.lit(None).cast("string")))
+                          .when(k % 19 == 0, F.array("s_name", F.lit("  "))).otherwise(F.array("s_name"))).alias("ticker"),
                 F.concat(F.col("s_name"), F.lit(" Holdings")).alias("company_name"),
-                F.col("r_name").alias("sector"),
+                F.when(k % 34 == 0, F.lit(None).cast("string")).when(k % 17 == 0, F.lit(" ")).otherwise(F.col("r_name")).alias("sector"),
                 F.col("n_name").alias("exchange"),
                 F.when(k % 11 == 0, F.lit(None).cast("string"))
                  .when(k % 13 == 0, F.date_format(listed, "dd/MM/yyyy"))

@@ -3,18 +3,21 @@
 Layout under the warehouse root (any Hadoop file system)::
 
     etl_load_run/event=<seq>/           one small file per ledger event (RUNNING, SUCCEEDED, FAILED)
+    etl_run_file/run=<id>/              the files run <id> read
     dim_sector/run=<id>/                rows inserted by run <id> (dimensions are insert-only)
     dim_instrument/run=<id>/
     dim_date/run=<id>/
-    fact_daily_price/run=<id>/year=<y>/ the full content of year <y> as written by run <id>
+    fact_daily_price/run=<id>/fact_year=<y>/fact_bucket=<b>/
+                                        the full content of that year and bucket of instruments
     etl_rejected_row/run=<id>/
-    _staging/run=<id>/<name>/           intermediate tables of run <id> (staged rows, new facts)
+    _staging/run=<id>/<name>/           intermediate tables of run <id>; deleted when it ends
 
 A run's outputs become visible only when its SUCCEEDED ledger event exists; readers ignore every
-directory of other runs, so a failed run changes nothing. The SUCCEEDED event carries the live
-fact map "year:run,...": for every year, which run's directory holds it. A reload rewrites only
-the years its replaced date ranges touch. One writer at a time is assumed (as a database lock
-would give); concurrent writers would need an external lock.
+directory of other runs, so a failed run changes nothing, and the ledger itself shows every run.
+The SUCCEEDED event carries the live fact map "year/bucket:run,...": which run's directory holds a
+year's bucket. A reload rewrites only the buckets of the instruments and the years it replaces, so
+reloading one ticker touches one bucket a year; ``vacuum`` deletes what no live map names. One
+writer at a time is assumed (as a database lock would give).
 """
 from __future__ import annotations
 
@@ -22,29 +25,39 @@ import datetime as dt
 import posixpath
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (IntegerType, LongType, StringType, StructField, StructType,
                                TimestampType)
 
 from ..plans.load import LEDGER_COLS, Warehouse
-from ..plans.schema import SCHEMAS, with_year
+from ..plans.schema import SCHEMAS, with_parts
+
+# Instruments are dealt to so many buckets in each year of the fact table. Part of the layout: a
+# warehouse keeps the number it was begun with.
+BUCKETS = 16
 
 LEDGER_SCHEMA = StructType([
     StructField("load_run_id", IntegerType()), StructField("event_seq", LongType()),
     StructField("started_at", TimestampType()), StructField("finished_at", TimestampType()),
-    StructField("status", StringType()), StructField("source_files", StringType()),
+    StructField("status", StringType()),
     StructField("rows_read", LongType()), StructField("rows_loaded", LongType()),
     StructField("rows_rejected", LongType()), StructField("error_message", StringType()),
     StructField("fact_map", StringType()),
 ])
 
+Part = tuple[int, int]
+
+
+def bucket_of(instrument_key) -> Column:
+    return F.pmod(F.xxhash64(instrument_key), F.lit(BUCKETS)).cast("int")
+
 
 class WarehouseStore:
     def __init__(self, spark: SparkSession, root: str, cache_ledger: bool = False):
-        """``cache_ledger``: keep the ledger rows between reads until this store appends an
-        event. Only the (single) writer of a run should set it; readers see other writers'
-        events only without it."""
+        """``cache_ledger``: keep the run states between reads until this store appends an event.
+        Only the (single) writer of a run should set it; readers see other writers' events only
+        without it."""
         self.spark = spark
         self.root = str(root).rstrip("/")
         self._cache_ledger = cache_ledger
@@ -61,43 +74,49 @@ class WarehouseStore:
         except AnalysisException:
             return self.spark.createDataFrame([], LEDGER_SCHEMA)
 
-    def ledger(self) -> DataFrame:
-        """One row per run: its latest event (``etl_load_run`` plus the fact map)."""
+    def _states(self) -> DataFrame:
         last = F.max_by(F.struct(*[c for c in LEDGER_SCHEMA.fieldNames() if c != "load_run_id"]), "event_seq")
-        return (self.ledger_events().groupBy("load_run_id").agg(last.alias("_e"))
-                .select("load_run_id", "_e.*").drop("event_seq"))
+        return self.ledger_events().groupBy("load_run_id").agg(last.alias("_e")).select("load_run_id", "_e.*")
+
+    def ledger(self) -> DataFrame:
+        """One row per run, whatever became of it: its latest event."""
+        return self._states().select(*LEDGER_COLS)
 
-    def ledger_rows(self) -> list:
-        """The ledger on the driver: one small row per run, nothing else (read once per event)."""
+    def run_states(self) -> list:
+        """(load_run_id, status, fact_map) of each run on the driver; the map of the newest commit."""
         if self._ledger_cache is not None:
             return self._ledger_cache
-        rows = sorted(self.ledger().collect(), key=lambda r: r.load_run_id)
+        rows = sorted(self._states().select("load_run_id", "status", "fact_map").collect(), key=lambda r: r.load_run_id)
         if self._cache_ledger:
             self._ledger_cache = rows
         return rows
 
     def append_event(self, run_id: int, status: str, started_at: dt.datetime, finished_at=None,
-                     source_files=None, rows=(None, None, None), error_message=None, fact_map=None) -> None:
+                     rows=(None, None, None), error_message=None, fact_map: dict[Part, int] | None = None) -> None:
         seq = int(dt.datetime.now(dt.timezone.utc).timestamp() * 1_000_000)
-        row = (run_id, seq, started_at, finished_at, status, source_files, *rows, error_message, fact_map)
+        text = None if fact_map is None else ",".join(f"{y}/{b}:{r}" for (y, b), r in sorted(fact_map.items()))
+        row = (run_id, seq, started_at, finished_at, status, *rows, error_message, text)
         (self.spark.createDataFrame([row], LEDGER_SCHEMA).coalesce(1)
          .write.mode("overwrite").parquet(self.path("etl_load_run", f"event={seq}")))
         self._ledger_cache = None
 
     def next_run_id(self) -> int:
-        rows = self.ledger_rows()
-        return (max(r.load_run_id for r in rows) if rows else 0) + 1
+        return max((r.load_run_id for r in self.run_states()), default=0) + 1
 
     # ------------------------------------------------------------ reading committed tables
 
-    def committed_runs(self) -> list[int]:
-        return [r.load_run_id for r in self.ledger_rows() if r.status == "SUCCEEDED"]
+    def committed_runs(self, as_of: int | None = None) -> list[int]:
+        return [r.load_run_id for r in self.run_states()
+                if r.status == "SUCCEEDED" and (as_of is None or r.load_run_id <= as_of)]
 
-    def fact_map(self) -> dict[int, int]:
-        done = [r for r in self.ledger_rows() if r.status == "SUCCEEDED"]
-        if not done or not done[-1].fact_map:
+    def fact_map(self, as_of: int | None = None) -> dict[Part, int]:
+        """Which run's directory holds each (year, bucket)."""
+        done = self.committed_runs(as_of)
+        text = next((r.fact_map for r in self.run_states() if done and r.load_run_id == done[-1]), None)
+        if not text:
             return {}
-        return {int(y): int(r) for y, r in (p.split(":") for p in done[-1].fact_map.split(","))}
+        entries = (entry.split(":") for entry in text.split(","))
+        return {tuple(map(int, part.split("/"))): int(run) for part, run in entries}
 
     def _runs_table(self, name: str, runs: list[int]) -> DataFrame:
         schema = SCHEMAS[name]
@@ -107,41 +126,37 @@ class WarehouseStore:
         return (self.spark.read.schema(schema).option("basePath", self.path(name)).parquet(*paths)
                 .select(*schema.fieldNames()))
 
+    def read_run_table(self, name: str, run_id: int) -> DataFrame:
+        """The rows of a table that one run wrote."""
+        return self._runs_table(name, [run_id])
+
     def read_dim(self, name: str, extra_runs: list[int] = ()) -> DataFrame:
         """Committed rows of an insert-only dimension plus those of ``extra_runs``."""
         return self._runs_table(name, self.committed_runs() + list(extra_runs))
 
-    def read_fact(self, years: list[int] | None = None, fact_map: dict[int, int] | None = None) -> DataFrame:
-        """Live fact rows (optionally only some years): per referenced run, its directory filtered
-        on the ``year`` partition column, so only the mapped year directories are listed and read."""
-        fmap = self.fact_map() if fact_map is None else fact_map
-        by_run: dict[int, list[int]] = {}
-        for year, run in fmap.items():
-            if years is None or year in years:
-                by_run.setdefault(run, []).append(year)
-        schema = SCHEMAS["fact_daily_price"]
-        parts = [self.spark.read.schema(with_year(schema)).parquet(self.path("fact_daily_price", f"run={run}"))
-                 .filter(F.col("year").isin(sorted(ys))).select(*schema.fieldNames())
-                 for run, ys in sorted(by_run.items())]
-        if not parts:
-            return self.spark.createDataFrame([], schema)
-        fact = parts[0]
-        for part in parts[1:]:
-            fact = fact.unionByName(part)
-        return fact
-
-    def read(self, extra_runs: list[int] = ()) -> Warehouse:
-        """The committed warehouse. ``extra_runs`` adds the (not yet committed) dimension rows of
-        the running load, which it needs for its own key lookups."""
-        runs = self.committed_runs()
-        ledger = self.ledger().filter(F.col("load_run_id").isin(runs or [-1])).select(*LEDGER_COLS)
+    def read_fact(self, parts: list[Part] | None = None, fact_map: dict[Part, int] | None = None) -> DataFrame:
+        """Live fact rows (optionally of some parts only), with the partition columns, on which a
+        filter prunes directories. Only the directories the map names are listed and read."""
+        live = self.fact_map() if fact_map is None else fact_map
+        by_run: dict[int, list[str]] = {}
+        for part in sorted(live if parts is None else parts):
+            year, bucket = part
+            by_run.setdefault(live[part], []).append(f"fact_year={year}/fact_bucket={bucket}")
+        schema = with_parts(SCHEMAS["fact_daily_price"])
+        out = None
+        for run, folders in sorted(by_run.items()):
+            base = self.path("fact_daily_price", f"run={run}")
+            one = self.spark.read.schema(schema).option("basePath", base).parquet(*[f"{base}/{f}" for f in folders])
+            out = one if out is None else out.unionByName(one)
+        return self.spark.createDataFrame([], schema) if out is None else out
+
+    def read(self, as_of: int | None = None) -> Warehouse:
+        """The committed warehouse (as of a run, if given and not vacuumed) and the whole ledger."""
+        runs = self.committed_runs(as_of)
         return Warehouse(
-            dim_sector=self._runs_table("dim_sector", runs + list(extra_runs)),
-            dim_instrument=self._runs_table("dim_instrument", runs + list(extra_runs)),
-            dim_date=self._runs_table("dim_date", runs + list(extra_runs)),
-            fact_daily_price=self.read_fact(),
-            etl_load_run=ledger,
-            etl_rejected_row=self._runs_table("etl_rejected_row", runs),
+            **{name: self._runs_table(name, runs) for name in ("dim_sector", "dim_instrument", "dim_date", "etl_rejected_row", "etl_run_file")},
+            fact_daily_price=self.read_fact(fact_map=self.fact_map(as_of)),
+            etl_load_run=self.ledger(),
         )
 
     # ------------------------------------------------------------ writing a run's outputs
@@ -154,26 +169,51 @@ class WarehouseStore:
         later steps and retried tasks start from the written files)."""
         p = self.path("_staging", f"run={run_id}", name)
         df.write.mode("overwrite").parquet(p)
-        return self.spark.read.parquet(p)
-
-    def write_fact_years(self, run_id: int, df: DataFrame) -> None:
-        """Write fact rows partitioned by year, clustered by (instrument_key, date_key) so the
-        Parquet min/max statistics prune well on both keys."""
-        (df.withColumn("year", (F.col("date_key") / 10000).cast("int"))
-         .repartition("year", "instrument_key")
-         .sortWithinPartitions("year", "instrument_key", "date_key")
-         .write.mode("overwrite").partitionBy("year")
+        return self.spark.read.schema(df.schema).parquet(p)
+
+    def write_fact_parts(self, run_id: int, df: DataFrame) -> None:
+        """Write fact rows by year and bucket, clustered by (instrument_key, date_key) so the
+        Parquet min/max statistics prune well on both keys. A part is one task's; a bucket holds
+        a sixteenth of the instruments, a year at most 366 rows of each."""
+        order = ["fact_year", "fact_bucket", "instrument_key", "date_key"]
+        (df.withColumn("fact_year", (F.col("date_key") / 10000).cast("int"))
+         .withColumn("fact_bucket", bucket_of("instrument_key"))
+         .repartition("fact_year", "fact_bucket").sortWithinPartitions(*order)
+         .write.mode("overwrite").partitionBy("fact_year", "fact_bucket")
          .parquet(self.path("fact_daily_price", f"run={run_id}")))
 
+    # ------------------------------------------------------------ clearing
+
+    def _delete(self, path: str) -> bool:
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
+
+    def drop_staging(self, run_id: int) -> None:
+        self._delete(self.path("_staging", f"run={run_id}"))
+
+    def vacuum(self) -> list[str]:
+        """Delete fact directories that the newest commit does not name, and what failed runs left;
+        returns them. Readers of an older state must be done."""
+        live, states = self.fact_map(), self.run_states()
+        gone = []
+        for state in states:
+            run = f"run={state.load_run_id}"
+            if state.status == "FAILED":
+                gone += [self.path(t, run) for t in ("dim_sector", "dim_instrument", "dim_date", "fact_daily_price", "etl_rejected_row")]
+            elif state.status == "SUCCEEDED":
+                own = self.fact_map(state.load_run_id)
+                gone += [self.path("fact_daily_price", run, f"fact_year={y}", f"fact_bucket={b}")
+                         for (y, b), r in own.items() if r == state.load_run_id and live.get((y, b)) != r]
+        return [p for p in gone if self._delete(p)]
+
 
 def export_extracts(wh: Warehouse, out_dir: str) -> list[str]:
-    """CSV extracts of the six tables (header row, one directory per table), for tools that read
+    """CSV extracts of the tables (header row, one directory per table), for tools that read
     text files. Each table is written by the executors in parallel; nothing passes the driver."""
     from ..plans.load import TABLES
     paths = []
     for name in TABLES:
         p = posixpath.join(str(out_dir).rstrip("/"), name)
-        getattr(wh, name).write.mode("overwrite").option("header", True).csv(p)
+        getattr(wh, name).drop("fact_year", "fact_bucket").write.mode("overwrite").option("header", True).csv(p)
         paths.append(p)
     return paths
-

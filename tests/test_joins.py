@@ -1,24 +1,7 @@
-"""Join helpers: size-checked broadcast, distributed dense index, small-scan spreading."""
+"""Distributed dense index."""
 from pyspark.sql import functions as F
 
-from pricewell.operators.joins import broadcast_if_small, spread_small_scan, with_ordered_index
-
-
-def _plan(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
-def test_broadcast_only_below_the_bound(spark):
-    big = spark.range(1000).withColumnRenamed("id", "k")
-    small = spark.range(10).withColumnRenamed("id", "k")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        assert "BroadcastHashJoin" in _plan(big.join(broadcast_if_small(small, max_rows=10), "k"))
-        assert "BroadcastHashJoin" not in _plan(big.join(broadcast_if_small(small, max_rows=9), "k"))
-        # a cheap bound may be counted instead of the side itself
-        assert "BroadcastHashJoin" not in _plan(big.join(broadcast_if_small(small, max_rows=50, bound=big), "k"))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+from pricewell.operators.joins import with_ordered_index
 
 
 def test_ordered_index_is_dense_and_in_key_order(spark):
@@ -33,10 +16,3 @@ def test_ordered_index_start_may_be_a_column(spark):
     df = spark.createDataFrame([("b",), ("a",)], "key string")
     out = with_ordered_index(df, ["key"], "k", start=prev.agg(F.max("k")).scalar()).orderBy("key").collect()
     assert [(r.key, r.k) for r in out] == [("a", 10), ("b", 11)]
-
-
-def test_spread_small_scan(spark):
-    one = spark.range(0, 100, 1, 1)
-    assert spread_small_scan(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    many = spark.range(0, 100, 1, spark.sparkContext.defaultParallelism * 2)
-    assert spread_small_scan(many) is many
