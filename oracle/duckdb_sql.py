@@ -8,7 +8,8 @@ from the CTE groups below; the driver tables are pre-registered views.
 Scenarios (same as the Spark side):
 
 * ``F``: one run over the whole tape (run id 1);
-* ``A`` then ``B``: run 1 loads every file but the newest, run 2 the two newest files.
+* ``A`` then ``B``: run 1 loads every file but the newest, run 2 fails, run 3 loads the two newest
+  files.
 """
 from __future__ import annotations
 
@@ -24,7 +25,7 @@ TAPE = [
   SELECT h, l_linenumber n, qty, o, CAST(o + (l_linenumber-4)*0.25 AS DECIMAL(12,2)) c, s_name, dt FROM tape_li)""",
     """tape_r AS (
   SELECT h,
-    CASE WHEN h%257=0 THEN 'ZZZZ' WHEN h%5=0 THEN concat(' ', lower(s_name), ' ') ELSE s_name END ticker,
+    CASE WHEN h%257=0 THEN 'ZZZZ' WHEN h%241=0 THEN '  ' WHEN h%5=0 THEN concat(' ', lower(s_name), ' ') ELSE s_name END ticker,
     CASE WHEN h%263=0 THEN '31/13/2021' ELSE CAST(dt AS VARCHAR) END trade_date,
     CAST(o AS VARCHAR) open,
     CAST(CASE WHEN h%199=0 THEN least(o,c)-1 ELSE greatest(o,c)+n END AS VARCHAR) high,
@@ -40,14 +41,18 @@ TAPE = [
                    coalesce(low,''), coalesce(close,''), coalesce(volume,'')) raw_record
   FROM (SELECT * FROM tape_r UNION ALL SELECT * FROM tape_r WHERE h%97=0))""",
     """ref_raw AS (
-  SELECT s_name ticker, s_name || ' Holdings' company_name, r_name sector, n_name exchange,
+  SELECT unnest(CASE WHEN s_suppkey % 38 = 0 THEN [s_name, NULL] WHEN s_suppkey % 19 = 0 THEN [s_name, '  '] ELSE [s_name] END) ticker,
+    s_name || ' Holdings' company_name,
+    CASE WHEN s_suppkey % 34 = 0 THEN NULL WHEN s_suppkey % 17 = 0 THEN ' ' ELSE r_name END sector, n_name exchange,
     CASE WHEN s_suppkey % 11 = 0 THEN NULL
          WHEN s_suppkey % 13 = 0 THEN strftime(DATE '1994-01-03' + CAST(s_suppkey % 365 AS INTEGER), '%d/%m/%Y')
          ELSE CAST(DATE '1994-01-03' + CAST(s_suppkey % 365 AS INTEGER) AS VARCHAR) END listing_date
   FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)""",
     # supplier names are unique, so one row per normalised ticker already
     """ref AS (
-  SELECT upper(trim(ticker)) ticker, company_name, sector, exchange, listing_date FROM ref_raw)""",
+  SELECT upper(trim(ticker)) ticker, company_name,
+         CASE WHEN length(trim(coalesce(sector, ''))) > 0 THEN trim(sector) ELSE 'Unknown' END sector, exchange, listing_date
+  FROM ref_raw WHERE length(trim(coalesce(ticker, ''))) > 0)""",
 ]
 
 BATCH = {
@@ -98,10 +103,11 @@ def staging(t: str, where: str, raw: str = "raw", ref: str = "ref") -> list[str]
   FROM clean_{t} WINDOW w AS (PARTITION BY ticker ORDER BY trade_date))""",
         f"""metrics_{t} AS (
   SELECT ticker, trade_date, open, high, low, close, volume, source_file, daily_return, log_return,
-    CASE WHEN n_ >= 20 THEN avg(close) OVER (PARTITION BY ticker ORDER BY trade_date
-         ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) END ma_20,
-    CASE WHEN n_ >= 50 THEN avg(close) OVER (PARTITION BY ticker ORDER BY trade_date
-         ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) END ma_50,
+    -- summed in date order, so that ties between the two averages are the same in every engine
+    CASE WHEN n_ >= 20 THEN list_reduce(list(close) OVER (PARTITION BY ticker ORDER BY trade_date
+         ROWS BETWEEN 19 PRECEDING AND CURRENT ROW), lambda x, y: x + y) / 20 END ma_20,
+    CASE WHEN n_ >= 50 THEN list_reduce(list(close) OVER (PARTITION BY ticker ORDER BY trade_date
+         ROWS BETWEEN 49 PRECEDING AND CURRENT ROW), lambda x, y: x + y) / 50 END ma_50,
     CASE WHEN n_ > 20 THEN stddev_samp(log_return) OVER (PARTITION BY ticker ORDER BY trade_date
          ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) * sqrt(252) END volatility_20d
   FROM m1_{t})""",
@@ -121,18 +127,24 @@ FACT_SELECT = """SELECT i.instrument_key, CAST(strftime(m.trade_date, '%Y%m%d')
          m.daily_return, m.log_return, m.ma_20, m.ma_50, m.volatility_20d, CAST({run} AS INTEGER) load_run_id
   FROM metrics_{t} m JOIN dim_instrument_{t} i ON i.ticker = m.ticker"""
 
-CLOCK = {1: ("2025-01-06 18:00:00", "2025-01-06 18:00:23"), 2: ("2025-01-07 18:00:00", "2025-01-07 18:00:19")}
+CLOCK = {1: ("2025-01-06 18:00:00", "2025-01-06 18:00:23"), 2: ("2025-01-07 09:30:00", "2025-01-07 09:30:05"),
+         3: ("2025-01-07 18:00:00", "2025-01-07 18:00:19")}
+LISTING = ("coalesce(" + ", ".join(f"try_strptime(r.listing_date, '{f}')" for f in ("%Y-%m-%d", "%m/%d/%Y", "%d/%m/%Y"))
+           + ")::DATE listing_date")
 
 
 def _ledger_row(t: str, run: int) -> str:
     start, end = CLOCK[run]
     return f"""SELECT CAST({run} AS INTEGER) load_run_id, TIMESTAMP '{start}' started_at, TIMESTAMP '{end}' finished_at,
          'SUCCEEDED' status,
-         (SELECT array_to_string(list_sort(list_distinct(list(source_file))), ',') FROM typed_{t}) source_files,
          (SELECT count(*) FROM typed_{t}) rows_read, (SELECT count(*) FROM newfact_{t}) rows_loaded,
          (SELECT count(*) FROM rejects_{t}) rows_rejected, CAST(NULL AS VARCHAR) error_message"""
 
 
+FAILED_RUN = f"""SELECT CAST(2 AS INTEGER), TIMESTAMP '{CLOCK[2][0]}', TIMESTAMP '{CLOCK[2][1]}', 'FAILED',
+         CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), 'feed ends early'"""
+
+
 def first_run(t: str) -> list[str]:
     """Dimensions, facts, ledger and rejects of a first run into an empty warehouse."""
     return [
@@ -141,7 +153,7 @@ def first_run(t: str) -> list[str]:
   FROM (SELECT DISTINCT sector sector_name FROM ref))""",
         f"""dim_instrument_{t} AS (
   SELECT CAST(row_number() OVER (ORDER BY r.ticker) AS INTEGER) instrument_key, r.ticker, r.company_name,
-         r.exchange, s.sector_key, try_strptime(r.listing_date, '%Y-%m-%d')::DATE listing_date
+         r.exchange, s.sector_key, {LISTING}
   FROM ref r JOIN dim_sector_{t} s ON s.sector_name = r.sector)""",
         f"""dim_date_{t} AS ({_calendar(f'clean_{t}')})""",
         f"""newfact_{t} AS ({FACT_SELECT.format(run=1, t=t)})""",
@@ -152,7 +164,7 @@ def first_run(t: str) -> list[str]:
 
 
 def second_run(t: str, p: str) -> list[str]:
-    """Run 2 (batch ``t``) on top of the warehouse left by run 1 (batch ``p``)."""
+    """The third run (batch ``t``) on top of the warehouse left by run 1 (batch ``p``)."""
     return [
         f"""new_sector_{t} AS (
   SELECT CAST((SELECT coalesce(max(sector_key), 0) FROM dim_sector_{p})
@@ -162,22 +174,26 @@ def second_run(t: str, p: str) -> list[str]:
         f"""new_instrument_{t} AS (
   SELECT CAST((SELECT coalesce(max(instrument_key), 0) FROM dim_instrument_{p})
               + row_number() OVER (ORDER BY r.ticker) AS INTEGER) instrument_key, r.ticker, r.company_name,
-         r.exchange, s.sector_key, try_strptime(r.listing_date, '%Y-%m-%d')::DATE listing_date
+         r.exchange, s.sector_key, {LISTING}
   FROM ref r JOIN dim_sector_{t} s ON s.sector_name = r.sector
   WHERE r.ticker NOT IN (SELECT ticker FROM dim_instrument_{p}))""",
         f"""dim_instrument_{t} AS (SELECT * FROM dim_instrument_{p} UNION ALL SELECT * FROM new_instrument_{t})""",
         f"""new_date_{t} AS (
   SELECT * FROM ({_calendar(f'clean_{t}')}) WHERE date_key NOT IN (SELECT date_key FROM dim_date_{p}))""",
         f"""dim_date_{t} AS (SELECT * FROM dim_date_{p} UNION ALL SELECT * FROM new_date_{t})""",
-        f"""newfact_{t} AS ({FACT_SELECT.format(run=2, t=t)})""",
+        f"""newfact_{t} AS ({FACT_SELECT.format(run=3, t=t)})""",
         f"""ranges_{t} AS (
   SELECT instrument_key, min(date_key) lo, max(date_key) hi, count(*) n FROM newfact_{t} GROUP BY instrument_key)""",
         f"""fact_{t} AS (
   SELECT * FROM fact_{p} f WHERE NOT EXISTS (SELECT 1 FROM ranges_{t} r WHERE r.instrument_key = f.instrument_key
                                                AND f.date_key BETWEEN r.lo AND r.hi)
   UNION ALL SELECT * FROM newfact_{t})""",
-        f"""ledger_{t} AS (SELECT * FROM ledger_{p} UNION ALL {_ledger_row(t, 2)})""",
-        f"""rejected_{t} AS (SELECT * FROM rejected_{p} UNION ALL SELECT CAST(2 AS INTEGER), * FROM rejects_{t})""",
+        f"""ledger_{t} AS (SELECT * FROM ledger_{p} UNION ALL {FAILED_RUN}
+  UNION ALL {_ledger_row(t, 3)})""",
+        f"""files_{t} AS (
+  SELECT DISTINCT CAST(1 AS INTEGER) load_run_id, source_file FROM typed_{p}
+  UNION ALL SELECT DISTINCT CAST(3 AS INTEGER), source_file FROM typed_{t})""",
+        f"""rejected_{t} AS (SELECT * FROM rejected_{p} UNION ALL SELECT CAST(3 AS INTEGER), * FROM rejects_{t})""",
         f"""star_{t} AS (
   SELECT f.*, i.ticker, i.company_name, s.sector_name, d.full_date, d.year, d.quarter, d.month
   FROM fact_{t} f JOIN dim_instrument_{t} i ON i.instrument_key = f.instrument_key
@@ -207,7 +223,7 @@ def staged(body: str) -> str:
 
 
 def two(body: str) -> str:
-    """Query over the warehouse after runs A (id 1) and B (id 2)."""
+    """Query over the warehouse after runs A (id 1), a failed one (id 2) and B (id 3)."""
     return _with(TAPE + staging("A", BATCH["A"]) + staging("B", BATCH["B"]) + first_run("A")
                  + second_run("B", "A"), body)
 
@@ -229,6 +245,15 @@ SUBSET = [
 
 LATEST = "(SELECT max(load_run_id) FROM ledger_B WHERE status = 'SUCCEEDED')"
 
+# The stored averages are compared as they are, with the instrument's row before.
+CROSSES = """
+        SELECT f.ticker, f.full_date, f.close_price, round(f.ma_20, 4) ma_20, round(f.ma_50, 4) ma_50
+        FROM star_F f JOIN (
+          SELECT instrument_key, date_key, lag(date_key) OVER (PARTITION BY instrument_key ORDER BY date_key) before FROM fact_F) k
+          ON k.instrument_key = f.instrument_key AND k.date_key = f.date_key
+        JOIN fact_F p ON p.instrument_key = f.instrument_key AND p.date_key = k.before
+        WHERE f.ma_20 > f.ma_50 AND p.ma_20 <= p.ma_50"""
+
 ORACLE_SQL: dict[str, str] = {
     "raw_record": _with(TAPE, "SELECT * FROM raw"),
     "normalise_ticker": _with(TAPE, "SELECT ticker ticker_raw, upper(trim(ticker)) ticker, count(*) n FROM raw "
@@ -283,9 +308,9 @@ ORACLE_SQL: dict[str, str] = {
         SELECT 'dim_sector' dim, sector_name natural_key, sector_key surrogate_key, 1 inserted_by_run FROM dim_sector_A
         UNION ALL SELECT 'dim_instrument', ticker, instrument_key, 1 FROM dim_instrument_A
         UNION ALL SELECT 'dim_date', CAST(full_date AS VARCHAR), date_key, 1 FROM dim_date_A
-        UNION ALL SELECT 'dim_sector', sector_name, sector_key, 2 FROM new_sector_B
-        UNION ALL SELECT 'dim_instrument', ticker, instrument_key, 2 FROM new_instrument_B
-        UNION ALL SELECT 'dim_date', CAST(full_date AS VARCHAR), date_key, 2 FROM new_date_B"""),
+        UNION ALL SELECT 'dim_sector', sector_name, sector_key, 3 FROM new_sector_B
+        UNION ALL SELECT 'dim_instrument', ticker, instrument_key, 3 FROM new_instrument_B
+        UNION ALL SELECT 'dim_date', CAST(full_date AS VARCHAR), date_key, 3 FROM new_date_B"""),
     "scan_fact": two(f"SELECT {FACT_ROUNDED} FROM fact_B"),
     "range_replace": two("""
         SELECT r.instrument_key, r.lo from_date_key, r.hi to_date_key, r.n rows_inserted,
@@ -301,6 +326,12 @@ ORACLE_SQL: dict[str, str] = {
                  WHERE d.date_key IS NULL) orphan_dates,
                (SELECT count(*) FROM fact_B f LEFT JOIN dim_instrument_B i ON i.instrument_key = f.instrument_key
                  WHERE i.instrument_key IS NULL) orphan_instruments,
+               (SELECT count(*) FROM fact_B WHERE sector_key IS NULL OR sector_key NOT IN (SELECT sector_key FROM dim_sector_B))
+                 orphan_sectors,
+               (SELECT count(*) FROM fact_B WHERE load_run_id NOT IN (SELECT load_run_id FROM ledger_B)) orphan_runs,
+               (SELECT count(*) FROM rejected_B WHERE load_run_id NOT IN (SELECT load_run_id FROM ledger_B)) orphan_rejects,
+               (SELECT count(*) FROM dim_instrument_B WHERE sector_key IS NULL
+                  OR sector_key NOT IN (SELECT sector_key FROM dim_sector_B)) homeless_instruments,
                (SELECT count(*) FROM fact_B WHERE close_price <= 0 OR high_price < low_price OR volume < 0) bad_values,
                (SELECT count(DISTINCT load_run_id) FROM fact_B) fact_runs,
                CAST((SELECT bool_and(load_run_id = {LATEST}) FROM fact_B) AS INTEGER) all_latest"""),
@@ -309,9 +340,16 @@ ORACLE_SQL: dict[str, str] = {
                round(CASE WHEN rows_read > 0 THEN CAST(rows_rejected AS DOUBLE) / rows_read END, 8) reject_rate
         FROM ledger_B"""),
     "trace_run": two("""
-        SELECT i.ticker, f.date_key, f.load_run_id, l.finished_at, l.source_files
+        SELECT i.ticker, f.date_key, f.load_run_id, l.finished_at
         FROM fact_B f JOIN ledger_B l ON l.load_run_id = f.load_run_id
         JOIN dim_instrument_B i ON i.instrument_key = f.instrument_key"""),
+    "trace_files": two("""
+        SELECT DISTINCT f.load_run_id, l.finished_at, x.source_file
+        FROM fact_B f JOIN ledger_B l ON l.load_run_id = f.load_run_id JOIN files_B x ON x.load_run_id = f.load_run_id
+        WHERE f.date_key = (SELECT max(date_key) FROM dim_date_B)"""),
+    "stored_rejects": two("""
+        SELECT load_run_id, source_file, ticker, trade_date_raw, reject_reason, raw_record, count(*) reject_ids
+        FROM rejected_B GROUP BY ALL"""),
     "reject_drilldown": two(f"""
         SELECT source_file, reject_reason, count(*) n FROM rejected_B WHERE load_run_id = {LATEST}
         GROUP BY source_file, reject_reason"""),
@@ -340,22 +378,12 @@ ORACLE_SQL: dict[str, str] = {
         SELECT sector_name, year, {r('avg(daily_return) * 252', 8, 'annualised_return')},
                {r('avg(volatility_20d)', 6, 'avg_volatility')}
         FROM star_F GROUP BY sector_name, year"""),
-    "golden_cross": full("""
-        SELECT ticker, full_date, close_price, round(m20, 4) ma_20, round(m50, 4) ma_50 FROM (
-          SELECT ticker, full_date, close_price, round(ma_20, 6) m20, round(ma_50, 6) m50,
-                 lag(round(ma_20, 6)) OVER w p20, lag(round(ma_50, 6)) OVER w p50
-          FROM star_F WINDOW w AS (PARTITION BY instrument_key ORDER BY date_key))
-        WHERE m20 > m50 AND p20 <= p50 ORDER BY full_date DESC, ticker LIMIT 20"""),
-    "golden_crosses": full("""
-        SELECT ticker, full_date, close_price, round(m20, 4) ma_20, round(m50, 4) ma_50 FROM (
-          SELECT ticker, full_date, close_price, round(ma_20, 6) m20, round(ma_50, 6) m50,
-                 lag(round(ma_20, 6)) OVER w p20, lag(round(ma_50, 6)) OVER w p50
-          FROM star_F WINDOW w AS (PARTITION BY instrument_key ORDER BY date_key))
-        WHERE m20 > m50 AND p20 <= p50"""),
+    "golden_cross": full(f"""{CROSSES} ORDER BY full_date DESC, ticker LIMIT 20"""),
+    "golden_crosses": full(CROSSES),
     "most_volatile": full("""
         SELECT ticker, sector_name, round(avg(volatility_20d), 6) avg_vol FROM star_F
         WHERE year = (SELECT year(max(full_date)) FROM star_F) AND quarter = (SELECT quarter(max(full_date)) FROM star_F)
-        GROUP BY ticker, sector_name ORDER BY round(avg(volatility_20d), 8) DESC NULLS LAST, ticker LIMIT 10"""),
+        GROUP BY ticker, sector_name ORDER BY avg(volatility_20d) DESC NULLS LAST, ticker LIMIT 10"""),
     "drilldown_rollup": full(f"""
         SELECT sector_name, ticker, CAST(grouping(sector_name, ticker) AS INTEGER) level,
                {r('avg(daily_return)', 8, 'avg_daily_return')}, {r('sum(close_price * volume)', 2, 'traded_value')},
