@@ -2,15 +2,14 @@
 
     python tools/explain_plans.py [sf_dir] [--full]
 
-Builds a warehouse from the tape with the load job (in a fresh temporary folder), then prints,
-per plan: exchanges, joins by strategy, windows, aggregates, and every scan's pushed filters and
-read schema. ``--full`` also prints the formatted plans.
+Loads the tape with the load job, then prints, per plan: exchanges, joins by strategy, windows,
+sorts, aggregates of every kind, and every scan's partition filters, pushed filters and read
+schema. ``--full`` also prints the formatted plans.
 """
 from __future__ import annotations
 
 import re
 import sys
-import tempfile
 from pathlib import Path
 
 ROOT = Path(__file__).resolve().parents[1]
@@ -18,13 +17,11 @@ sys.path.insert(0, str(ROOT))
 
 from pricewell.operators import measures as M  # noqa: E402
 from pricewell.operators.metrics import add_rolling_metrics  # noqa: E402
-from pricewell.operators.quality import check_rows, collapse, rank_versions  # noqa: E402
-from pricewell.operators.star import normalise_reference  # noqa: E402
+from pricewell.operators.quality import validate  # noqa: E402
+from pricewell.operators.star import integrity_checks, normalise_reference  # noqa: E402
 from pricewell.plans import views as V  # noqa: E402
-from pricewell.plans.job import run_load  # noqa: E402
-from pricewell.plans.scenario import tape  # noqa: E402
+from pricewell.plans.scenario import full_load, tape  # noqa: E402
 from pricewell.session import get_spark  # noqa: E402
-from pricewell.sources.warehouse import WarehouseStore  # noqa: E402
 
 
 def summary(name: str, df, full: bool) -> None:
@@ -45,10 +42,12 @@ def summary(name: str, df, full: bool) -> None:
           + "; ".join(f"{k}({v[:60]})" for k, v in ex))
     print(f"   reused exchanges: {plan.count('ReusedExchange')}; scans of lineitem: {plan.count('lineitem.parquet')}")
     print(f"   joins: {joins}")
-    print(f"   windows: {plan.count('Window [')}, aggregates: {plan.count('HashAggregate(')}")
-    for m in re.finditer(r"FileScan (\w+) \[([^\]]*)\].*?PushedFilters: \[([^\]]*)\], ReadSchema: (struct<[^>]*>)",
-                         plan):
-        print(f"   scan {m.group(1)} filters=[{m.group(3)[:120]}] schema={m.group(4)[:160]}")
+    count = lambda node: len(re.findall(rf"\b{node}\b ?[\[(]", plan))
+    print("   " + ", ".join(f"{node}: {count(node)}" for node in ("Window", "Sort", "HashAggregate", "ObjectHashAggregate", "SortAggregate")))
+    for line in plan.splitlines():
+        if "FileScan" in line:
+            part = lambda key: (re.search(rf"{key}: (\[.*?\]|struct<[^>]*>?)", line) or [None, "-"])[1][:170]
+            print(f"   scan partitions={part('PartitionFilters')} pushed={part('PushedFilters')} schema={part('ReadSchema')}")
     if full:
         df.explain("formatted")
 
@@ -58,20 +57,21 @@ def main() -> None:
     full = "--full" in sys.argv
     spark = get_spark(master="local[8]", shuffle_partitions=8)
     raw, inst = tape(spark, sf)
-    summary("staging (collapse + rank)", rank_versions(collapse(check_rows(raw, normalise_reference(inst)))), full)
-    wh_dir = tempfile.mkdtemp(prefix="pricewell-plans-")
-    run_load(spark, raw, inst, wh_dir)
-    store = WarehouseStore(spark, wh_dir)
-    staged = spark.read.parquet(store.path("_staging", "run=1", "staged"))
-    from pricewell.operators.quality import clean_rows
-    summary("metrics over staged clean rows", add_rolling_metrics(clean_rows(staged)), full)
-    wh = store.read()
+    staging = validate(raw, normalise_reference(inst))
+    summary("staging: distinct raw rows", staging.staged, full)
+    summary("staging: clean prices", staging.clean, full)
+    summary("staging: refused rows", staging.refused, full)
+    summary("metrics over clean prices", add_rolling_metrics(staging.clean), full)
+    wh = full_load(spark, sf).read()
     star = V.star(wh)
     for name, df in {
         "instrument_latest": V.instrument_latest(wh), "sector_monthly": V.sector_monthly(wh),
         "golden_cross": V.golden_cross(wh), "most_volatile": V.most_volatile(wh),
-        "trace_run(one row)": V.trace_run(wh, ticker="SUPPLIER#000000001", date_key=19980105),
+        "trace_run (one row)": V.trace_run(wh, ticker="SUPPLIER#000000001", date_key=19980105),
         "reject_drilldown": V.reject_drilldown(wh), "sector_index": M.sector_index(star),
+        "integrity_checks": integrity_checks(wh.fact_daily_price, wh.dim_date, wh.dim_instrument, wh.dim_sector,
+                                             wh.etl_load_run, wh.etl_rejected_row),
+        "instrument_drilldown": M.instrument_drilldown(star),
         "price_vs_ma50": M.price_vs_ma50(star, ["ticker"]),
     }.items():
         summary(name, df, full)
