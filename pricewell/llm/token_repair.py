@@ -23,15 +23,17 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .shared import scratch_path
-from .words import slices
+from .words import slices, text_bytes, word_hashes
 
 END_ID = 2
 SHARD_IDS = 1 << 21        # ids after which a shard is closed, with the document that reaches them
@@ -41,59 +43,126 @@ MAGIC = b"RPT1"
 SYMBOLS = 1 << 16
 HEAD = struct.Struct("<4sIIIIQ")
 
-# Pieces whose ends are token boundaries in byte-level BPE, whatever stands around them: the
-# white space is that of Unicode (fixed values).
-_SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-_PIECE = re.compile(f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
+# White space of ASCII (fixed values); the encoder takes texts with other white space whole.
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_PLAIN = np.zeros(256, bool)      # letters and digits of ASCII
+_PLAIN[48:58] = _PLAIN[65:91] = _PLAIN[97:123] = True
+_SIGN = ~_PLAIN & ~_SPACE         # other printing characters of ASCII
+_SIGN[:33] = _SIGN[127:] = False
+_OTHER_SPACE = re.compile(
+    b"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
+
+
+def piece_spans(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, ends, first piece of each text, with the end) of pieces whose ends are token
+    boundaries in byte-level BPE, whatever stands around them: a word with the single space before
+    it; of the white space before a word, all but its last character, and that character if it is
+    not a space; white space that ends a text."""
+    space = _SPACE[data]
+    edge = np.zeros(len(data) + 1, bool)
+    edge[off] = True
+    before, after = np.append(False, space[:-1]), np.append(space[1:], False)
+    new = edge[:-1] | (space & ~before) | (space & ~after & ~edge[1:]) | (~space & before & (np.append(0, data[:-1]) != 32))
+    sign = np.flatnonzero(_SIGN[data])
+    sign = sign[sign > 0]
+    last, lead = data[sign - 1], data[sign - 2]     # of a text's first bytes, edges decide
+    new[sign[_PLAIN[last] | ((lead == 0xC3) & (last >= 0x80) & (last != 0x97) & (last != 0xB7))]] = True
+    starts = np.flatnonzero(new)
+    return starts, np.append(starts[1:], len(data)), np.searchsorted(starts, off)
+
+
+_KEEP = np.array([(1 << 8 * k) - 1 for k in range(8)] + [(1 << 64) - 1], np.uint64)
+
+
+def heads(raw: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The first eight bytes of each piece with its length, in one number."""
+    view = np.ndarray((len(raw) + 1,), "<u8", raw + bytes(8), strides=(1,))
+    size = ends - starts
+    return (view[starts] & _KEEP[np.minimum(size, 8)]) ^ size.astype(np.uint64) << np.uint64(56)
 
 
 class Encoder:
-    """Encodes whole texts with the tokenizers library. Pieces recur, so each is encoded once and
-    kept; a text with the string of an added token is encoded in one piece."""
+    """Encodes whole texts with the tokenizers library.
+
+    Pieces recur, so each is encoded once and its ids are kept under a 64-bit hash; a piece that
+    differs from the kept one in length or first bytes, a text with the string of an added token,
+    and one with white space beyond ASCII make the library encode the whole text instead.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        added = [re.escape(t.content.encode()) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile(b"|".join([*added, _OTHER_SPACE.pattern]))
         self.forget()
 
     def forget(self) -> None:
-        self.number: dict[str, int] = {}
-        self.ids, self.length = np.zeros(0, np.uint16), np.zeros(0, np.int64)
-
-    def learn(self, pieces: list[str]) -> None:
-        if len(self.number) + len(pieces) > CACHE_PIECES:
-            self.forget()
-        base = len(self.number)
-        self.number.update((p, base + i) for i, p in enumerate(pieces))
+        self.number: dict[int, int] = {}
+        self.hash, self.head = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.ids, self.length, self.begin = np.zeros(0, np.uint16), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.uses = np.zeros(0, np.int64)
+
+    def _make_room(self) -> None:
+        """Keep the pieces that came up again since they were learned; memory stays bounded."""
+        keep = np.flatnonzero(self.uses > 1)
+        if len(keep) > CACHE_PIECES // 2:
+            return self.forget()
+        self.ids = self._ids_of(keep)
+        self.hash, self.head, self.length = self.hash[keep], self.head[keep], self.length[keep]
+        self.begin, self.uses = np.cumsum(self.length) - self.length, np.ones(len(keep), np.int64)
+        self.number = dict(zip(self.hash.tolist(), range(len(keep))))
+
+    def _ids_of(self, known: np.ndarray) -> np.ndarray:
+        n = self.length[known]
+        return self.ids[np.arange(n.sum()) + np.repeat(self.begin[known] - np.cumsum(n) + n, n)]
+
+    def _learn(self, pieces: list[str], hashes: np.ndarray, head: np.ndarray) -> None:
         found = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-        self.length = np.append(self.length, np.fromiter(map(len, found), np.int64, len(found)))
-        self.ids = np.append(self.ids, np.array([i for x in found for i in x], np.uint16))
-        self.first = np.cumsum(self.length) - self.length
+        length = np.fromiter(map(len, found), np.int64, len(found))
+        self.number.update(zip(hashes.tolist(), range(len(self.hash), len(self.hash) + len(pieces))))
+        self.begin = np.append(self.begin, len(self.ids) + np.cumsum(length) - length)
+        self.ids = np.append(self.ids, np.fromiter((i for x in found for i in x), np.uint16))
+        self.length, self.uses = np.append(self.length, length), np.append(self.uses, np.zeros(len(length), np.int64))
+        self.hash, self.head = np.append(self.hash, hashes), np.append(self.head, head)
+
+    def encode_bytes(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, number of ids of each) of concatenated UTF-8 texts."""
+        raw = data.tobytes()
+        starts, ends, first = piece_spans(data, off)
+        head = heads(raw, starts, ends)
+        code, hashes = pd.factorize(word_hashes(data, starts, ends))
+        sample = np.empty(len(hashes), np.int64)
+        sample[code[::-1]] = np.arange(len(code))[::-1]
+        if len(self.number) + len(hashes) > CACHE_PIECES:
+            self._make_room()
+        known = np.fromiter(map(self.number.get, hashes.tolist(), repeat(-1)), np.int64, len(hashes))
+        new = np.flatnonzero(known < 0)
+        if len(new):
+            known[new] = np.arange(len(self.number), len(self.number) + len(new))
+            at = sample[new]
+            pieces = [raw[s:e].decode("utf-8", "surrogatepass") for s, e in zip(starts[at].tolist(), ends[at].tolist())]
+            self._learn(pieces, hashes[new], head[at])
+        self.uses[known] += 1
+        known = known[code]
+        ids, n = self._ids_of(known), self.length[known]
+        sums = np.append(0, np.cumsum(n))[first]
+        text_of = lambda places: np.searchsorted(off, places, "right") - 1
+        odd = np.union1d(text_of(starts[self.head[known] != head]), text_of([m.start() for m in self.special.finditer(raw)]))
+        if not len(odd):
+            return ids, np.diff(sums)
+        parts, at = [], 0
+        sizes = np.diff(sums)
+        for k in odd.astype(int).tolist():
+            own = self.tokenizer.encode(raw[off[k]:off[k + 1]].decode("utf-8", "surrogatepass"), add_special_tokens=False).ids
+            parts += [ids[at:sums[k]], np.array(own, np.uint16)]
+            at, sizes[k] = sums[k + 1], len(own)
+        return np.concatenate([*parts, ids[at:]]), sizes
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts, number of ids of each)."""
-        split = [None if any(a in t for a in self.added) else _PIECE.findall(t) for t in texts]
-        new = set().union(*(s for s in split if s)) if any(split) else set()
-        if len(new) + len(self.number) > CACHE_PIECES:
-            self.forget()
-        if missing := [p for p in new if p not in self.number]:
-            self.learn(missing)
-        parts, sizes = [], []
-        for text, pieces in zip(texts, split):
-            if pieces is None:
-                ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint16)
-            elif pieces:
-                at = np.fromiter(map(self.number.__getitem__, pieces), np.int64, len(pieces))
-                n = self.length[at]
-                ids = self.ids[np.arange(n.sum()) + np.repeat(self.first[at] - np.cumsum(n) + n, n)]
-            else:
-                ids = np.zeros(0, np.uint16)
-            parts.append(ids)
-            sizes.append(len(ids))
-        return np.concatenate(parts) if parts else np.zeros(0, np.uint16), np.array(sizes, np.int64)
+        return self.encode_bytes(*text_bytes(pa.array(texts, pa.string())))
 
 
 def grammar(ids: np.ndarray, last: np.ndarray, vocabulary: int, min_count: int = MIN_COUNT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -221,8 +290,7 @@ def _write(path: str, end_id: int, shard_ids: int):
 
         for batch in batches:
             for piece in slices(batch, "text", 1 << 20):
-                texts = ["" if t is None else t for t in piece.column("text").to_pylist()]
-                own, n = encoder.encode(texts)
+                own, n = encoder.encode_bytes(*text_bytes(piece.column("text")))
                 end = np.cumsum(n)
                 ids.append(np.insert(own, end, end_id))
                 sizes.append(n + 1)

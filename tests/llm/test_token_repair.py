@@ -17,7 +17,7 @@ def tokenizer():
 
 
 ODD = ["", " ", "\n", "a", " a", "a ", "a  b", "a\n b", "a \n\nb", "\t\tx", "don't we'll  I'm", "x y z　", "\x1c\x1d a\x85b", "​q", "1 2  33 4a",
-       "<|endoftext|>", "a <|endoftext|> b", "日本 語", "é é", "!!! ??  ...", "\r\n\r\n", "👩‍👩‍👧 x", "\x00\x01", "a'", "'s", " 's", "﻿bom", "  lead", "trail  \n "]
+       "<|endoftext|>", "a <|endoftext|> b", "日本 語", "é é", "!!! ??  ...", "\r\n\r\n", "👩‍👩‍👧 x", "\x00\x01", "a'", "'s", " 's", "it's.'some", "9.5's", "é's,x", "a…'s", "×.÷!", "(a)b)'ll", "﻿bom", "  lead", "trail  \n "]
 
 
 def test_encoding_equals_the_library(tokenizer):
@@ -31,6 +31,17 @@ def test_encoding_equals_the_library(tokenizer):
         at += n
 
 
+def test_a_full_cache_changes_nothing(tokenizer, monkeypatch):
+    monkeypatch.setattr(op, "CACHE_PIECES", 60)
+    rnd = random.Random(2)
+    enc = op.Encoder(PATH)
+    for _ in range(30):
+        texts = [" ".join(rnd.choice(["the", "a", f"w{rnd.randrange(500)}", "x, y.", "(it's)"]) for _ in range(12)) for _ in range(3)]
+        ids, _ = enc.encode(texts)
+        assert ids.tolist() == [i for t in texts for i in tokenizer.encode(t, add_special_tokens=False).ids]
+        assert len(enc.number) == len(enc.hash) <= 60 + 40
+
+
 @pytest.mark.parametrize("alphabet", [1, 2, 5, 300])
 def test_shards_round_trip(alphabet):
     rng = np.random.default_rng(alphabet)
