@@ -137,10 +137,9 @@ def near_dedup(vectors: DataFrame, threshold: float = THRESHOLD, miss: float = M
         f"rep long, n long, label {reps.schema['label'].dataType.simpleString()}, embedding array<float>, own_keys binary, keys array<int>"), "keys")
     slim = keyed.select("rep", "label", F.size("embedding").alias("dim"), F.posexplode("keys").alias("table", "key"))
     cell_keys = ["table", "label", "dim", "key"]
-    sizes = slim.groupBy(*cell_keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-    crowded = slim.join(sizes.drop("_n"), cell_keys, "left_semi")
-    full = crowded.join(keyed.select("rep", "n", "embedding", "own_keys"), "rep")
-    found = stored(pair_cells(full, cell_keys, F.col("rep"), cell)
+    vectors_of = keyed.select("rep", "n", "embedding", "own_keys")
+    cells = pair_cells(slim, cell_keys, F.col("rep"), cell, lambda rows: rows.join(vectors_of, "rep"))
+    found = stored(cells
                    .mapInArrow(_compare(threshold, tables), "rep long, met long, root long"), "links")
     met = found.groupBy("rep").agg(F.sum("met").alias("met"))
     nodes = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b"))).withColumnRenamed("node", "rep")

@@ -2,7 +2,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -15,9 +15,24 @@ from ..session import ensure_checkpoint_dir
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def scratch_root(spark: SparkSession) -> str:
+    return f"{ensure_checkpoint_dir(spark)}/llm-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder below the cluster's shared checkpoint folder."""
-    return f"{ensure_checkpoint_dir(spark)}/llm-{name}-{uuid.uuid4().hex}"
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this application. Results are lazy and read them, so only
+    when all results are written."""
+    _delete(spark, scratch_root(spark))
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -32,28 +47,30 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 def drop_stored(df: DataFrame) -> None:
     """Delete the files of a ``stored`` table that no later step reads."""
-    spark, path = df.sparkSession, getattr(df, "_scratch", None)
-    if path:
-        p = spark._jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    if path := getattr(df, "_scratch", None):
+        _delete(df.sparkSession, path)
 
 
-def pair_cells(df: DataFrame, keys: list[str], unit: Column, most: int) -> DataFrame:
+def pair_cells(df: DataFrame, keys: list[str], unit: Column, most: int,
+               payload: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Deal the rows of each key to cells so that any two rows of a key meet in exactly one cell.
 
     A key of n rows is cut into ``ceil(n / most)`` blocks by the hash of ``unit``; a row goes to the
     cell of its block with each block of the key, so a cell holds about ``2 * most`` rows however
     large the key is. Keys with one row have no pair and are left out. Adds ``blk``, ``lo``, ``hi``:
-    a cell with ``lo < hi`` compares rows of different ``blk`` only. The output is partitioned and
-    sorted by cell.
+    a cell with ``lo < hi`` compares rows of different ``blk`` only. ``payload`` may join what the
+    comparison needs to the rows that are left. The output is partitioned and sorted by cell.
     """
-    sizes = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-             .select(*keys, F.ceil(F.col("_n") / F.lit(most)).cast("int").alias("_blocks")))
+    # written first: a join with an aggregate's output in its own stage can't have skewed keys split
+    sizes = stored(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+                   .select(*keys, F.ceil(F.col("_n") / F.lit(most)).cast("int").alias("_blocks")), "sizes")
     dealt = (df.join(sizes, keys)
              .withColumn("blk", F.pmod(F.xxhash64(unit, F.lit("block")), F.col("_blocks")).cast("int"))
              .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
              .withColumn("lo", F.least("blk", "_other")).withColumn("hi", F.greatest("blk", "_other"))
              .drop("_blocks", "_other"))
+    if payload is not None:
+        dealt = payload(dealt)
     cell = [*keys, "lo", "hi"]
     return dealt.repartition(*cell).sortWithinPartitions(*cell)
 
@@ -106,8 +123,8 @@ def components(edges: DataFrame) -> DataFrame:
 
     Alternating large-star and small-star rounds: each replaces a node's links by links to the
     smallest neighbour. A round groups with map-side minima and joins the links with one row per
-    node; a hub's links are split by AQE's skew join. Rounds end when nothing changes; they are
-    about logarithmic in the longest path. Each round is written to the shared folder.
+    node, written first, so that AQE can split a hub's links. Rounds end when nothing changes; they
+    are about logarithmic in the longest path. Each round is written to the shared folder.
     """
     spark = edges.sparkSession
 
@@ -122,18 +139,20 @@ def components(edges: DataFrame) -> DataFrame:
     seen = mark(now)
     while seen[0]:
         # large star: the larger neighbours of u move to the smallest of u's neighbours and u
-        least = (now.select("u", "v").union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-                 .groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("c"), F.least("u", "m").alias("m")))
+        least = stored(now.select("u", "v").union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+                       .groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("c"), F.least("u", "m").alias("m")), "least")
         large = now.join(least, now.v == least.c).select(F.col("u").alias("a"), F.col("m").alias("b"))
-        large = links(large)
+        large = stored(links(large), "links")
+        drop_stored(least)
         # small star: u and its smaller neighbours move to the smallest of them
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        both = large.join(least.withColumnRenamed("u", "c"), large.u == F.col("c"))
+        least = stored(large.groupBy(F.col("u").alias("c")).agg(F.min("v").alias("m")), "least")
+        both = large.join(least, large.u == least.c)
         small = links(both.select(F.explode(F.array(F.struct(F.col("u").alias("a"), F.col("m").alias("b")),
                                                     F.struct(F.col("v").alias("a"), F.col("m").alias("b")))).alias("e"))
                       .select("e.a", "e.b"))
         new = stored(small, "links")
-        drop_stored(now)
+        for done in (now, large, least):
+            drop_stored(done)
         now, before, seen = new, seen, mark(new)
         if seen == before:
             break

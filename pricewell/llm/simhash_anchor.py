@@ -19,7 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .shared import components, forest, pair_cells, stored, whole_groups
@@ -27,6 +27,7 @@ from .words import slices, text_bytes, word_spans
 
 SHINGLE, MAX_BITS, SEED = 3, 3, 42
 CELL = 1024
+FP = "_fp"
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -44,7 +45,7 @@ def fingerprint(hashes: np.ndarray) -> int:
     return int(np.packbits(count * 2 > len(hashes)).view(">u8")[0])
 
 
-def _fingerprints(size: int):
+def _fingerprints(size: int, keep: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh64_intdigest
         for batch in batches:
@@ -69,15 +70,17 @@ def _fingerprints(size: int):
                                      zip(begin[a:b - k + 1].tolist(), stop[a + k - 1:b].tolist())), np.uint64, b - a - k + 1)
                     out.append(fingerprint(h))
                 fp = pa.array(np.array(out, np.uint64).view(np.int64))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), fp], ["doc_id", "fp"])
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), fp], [*keep, FP])
     return run
 
 
-def simhash(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp long): SimHash over the word shingles of the whole text, A-Z lower-cased,
+def with_simhash(docs: DataFrame, keep: list[str], shingle: int = SHINGLE) -> DataFrame:
+    """The columns ``keep`` of ``docs`` and fp long: SimHash over the word shingles of the whole text, A-Z lower-cased,
     repeats included, each hashed by XXH64 with seed 42. A text with fewer words than a shingle is
     one shingle; one without words, or null, has fingerprint 0."""
-    return docs.select("doc_id", "text").mapInArrow(_fingerprints(shingle), "doc_id long, fp long")
+    rows = docs.select(*dict.fromkeys([*keep, "text"]))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*keep).schema)
+    return rows.mapInArrow(_fingerprints(shingle, keep), f"{schema}, {FP} long")
 
 
 def hamming_moves() -> tuple[np.ndarray, np.ndarray]:
@@ -182,6 +185,16 @@ def link_fingerprints(fps: DataFrame, bits: int = MAX_BITS, cell: int = CELL) ->
     return dealt.mapInArrow(_compare(bits), "a long, b long").distinct()
 
 
+def grouped_fingerprints(docs: DataFrame, shingle: int, bits: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id and fp of each row; per distinct fp: n_same, root, component_id)."""
+    prints = stored(with_simhash(docs, ["doc_id"], shingle).withColumnRenamed(FP, "fp"), "fingerprints")
+    fps = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n_same")), "distinct-fp")
+    nodes = components(link_fingerprints(fps, bits)).withColumnRenamed("node", "fp")
+    rooted = fps.join(nodes, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    return prints, stored(rooted.join(least, "root").select("fp", "n_same", "root", "component_id"), "groups")
+
+
 def near_dedup(docs: DataFrame, shingle: int = SHINGLE, bits: int = MAX_BITS) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, fp long, component_id (smallest doc_id
     reachable over links of at most ``bits`` differing bits), n_same (rows with this fingerprint).
@@ -190,20 +203,20 @@ def near_dedup(docs: DataFrame, shingle: int = SHINGLE, bits: int = MAX_BITS) ->
     Repeated rows stay, in one component. A row without doc_id takes part; a component of such rows
     only has a null component_id. An empty table gives an empty result; other columns are ignored.
     """
-    prints = stored(simhash(docs, shingle), "fingerprints")
-    fps = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n_same")), "distinct-fp")
-    nodes = components(link_fingerprints(fps, bits)).withColumnRenamed("node", "fp")
-    rooted = fps.join(nodes, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    by_fp = rooted.join(least, "root").select("fp", "n_same", "component_id")
-    return prints.join(by_fp, "fp").select("doc_id", "fp", "component_id", "n_same")
+    prints, groups = grouped_fingerprints(docs, shingle, bits)
+    return prints.join(groups, "fp").select("doc_id", "fp", "component_id", "n_same")
 
 
 def kept_documents(docs: DataFrame, shingle: int = SHINGLE, bits: int = MAX_BITS) -> DataFrame:
-    """The rows of ``docs`` that stay: one per component, that with the smallest doc_id (of rows
-    repeating that doc_id, one). Rows without doc_id stay only if no other row is in their
-    component's place: they are kept when their component has no doc_id at all, once."""
-    cols = docs.columns
-    group = near_dedup(docs, shingle, bits)
-    keep = group.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    return docs.join(keep.withColumnRenamed("doc_id", "_keep"), docs.doc_id.eqNullSafe(F.col("_keep"))).select(*[docs[c] for c in cols]).dropDuplicates(["doc_id"])
+    """The rows of ``docs`` that stay, one per component: the row with the smallest doc_id (of rows
+    that repeat it, that whose text has the smallest hash), or any one where no row has a doc_id.
+    The texts take part in one exchange, by doc_id."""
+    prints, groups = grouped_fingerprints(docs, shingle, bits)
+    keep = groups.filter("component_id is not null").select(F.col("component_id").alias("_keep")).distinct()
+    first = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
+    named = (docs.join(keep, docs.doc_id == keep._keep, "left_semi").withColumn("_row", first)
+             .filter("_row = 1").select(*docs.columns))
+    nameless = (with_simhash(docs.filter("doc_id is null"), docs.columns, shingle)
+                .join(groups.filter("component_id is null").select(F.col("fp").alias(FP), F.col("root").alias("_root")), FP)
+                .dropDuplicates(["_root"]).select(*docs.columns))
+    return named.unionByName(nameless)
