@@ -25,8 +25,10 @@ WINDOW, MER = 50, 8
 # Rows of one minimiser that are handled together.
 CELL = 1024
 
-SCAN = ("doc_id long, tk long, sha string, n_words long, "
-        "runs array<struct<h: long, start: int, len: int, pos: int>>")
+# A run of windows: the hash at the selected position, and in one number the first window, the number
+# of windows and how far the position lies behind the first window.
+SCAN = "doc_id long, tk long, sha string, n_words long, runs array<struct<h: long, at: long>>"
+_LOW = 12
 FOUND = "doc_id long, tk long, a int, b int, src long, shared binary"
 
 
@@ -34,8 +36,10 @@ def joined_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tupl
     """All words joined by one space, and where each begins and ends in that."""
     length = ends - starts
     to = np.cumsum(length + 1)
-    src = np.arange(int(to[-1]) if len(to) else 0) + np.repeat(starts - (to - length - 1), length + 1)
-    out = data[np.minimum(src, max(len(data) - 1, 0))] if len(src) else np.zeros(0, np.uint8)
+    src = np.repeat(starts - (to - length - 1), length + 1)
+    src += np.arange(len(src))
+    np.minimum(src, max(len(data) - 1, 0), out=src)
+    out = data[src] if len(src) else np.zeros(0, np.uint8)
     out[to - 1] = 32
     return out.tobytes(), to - length - 1, to - 1
 
@@ -71,9 +75,8 @@ def _scan(window: int, mer: int):
                 sha = [hashlib.sha256(raw[begin[a]:stop[b - 1]] if b > a else b"").hexdigest()
                        for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
                 text, h, at, many, pos = selections(word_hashes(data, starts, ends), first, window, mer)
-                runs = pa.StructArray.from_arrays(
-                    [pa.array(h.view(np.int64)), *(pa.array(x.astype(np.int32)) for x in (at - first[text], many, pos - first[text]))],
-                    ["h", "start", "len", "pos"])
+                place = (at - first[text]) << 2 * _LOW | many << _LOW | (pos - at)
+                runs = pa.StructArray.from_arrays([pa.array(h.view(np.int64)), pa.array(place)], ["h", "at"])
                 lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(text, np.arange(len(n) + 1)).astype(np.int32)), runs)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("tk"), pa.array(sha), pa.array(n.astype(np.int64)), lists],
@@ -91,7 +94,10 @@ def _pieces(window: int, cell: int):
                 runs = part.column("runs")
                 each, v = np.diff(runs.offsets.to_numpy()), runs.flatten()
                 row = np.repeat(np.arange(part.num_rows), each)
-                h, total, start, many, pos = (v.field(x).to_numpy() for x in ("h", "n", "start", "len", "pos"))
+                h, total, place = (v.field(x).to_numpy() for x in ("h", "n", "at"))
+                start, many = place >> 2 * _LOW, place >> _LOW & (1 << _LOW) - 1
+                pos = start + (place & (1 << _LOW) - 1)
+                start, many, pos = (x.astype(np.int32) for x in (start, many, pos))
                 a = first[row] + start
                 b = a + many + window - 2
                 doc = part.column("doc_id").to_numpy()[row]
@@ -126,16 +132,19 @@ def repeated_windows(docs: DataFrame, cell_task: Callable, window: int = WINDOW,
     Texts with the same words are one text, represented by the smallest doc_id. Rows without doc_id
     or text have no windows. tk, a hash of the text, tells rows apart that repeat a doc_id.
     """
+    if window >= 1 << _LOW:
+        raise ValueError("windows of 4096 words and more do not fit the packed runs")
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("tk"))
     scan = stored(rows.mapInArrow(_scan(window, mer), SCAN), "scan")
-    first = scan.filter("doc_id is not null").groupBy("sha").agg(F.min("doc_id").alias("rep"))
+    first = stored(scan.filter("doc_id is not null").groupBy("sha").agg(F.min("doc_id").alias("rep")), "first")
     alone = first.select("sha", F.col("rep").alias("doc_id"))
     slim = (scan.filter(F.size("runs") > 0).join(alone, ["doc_id", "sha"], "left_semi")
             .select("doc_id", "tk", F.inline("runs")))
-    twice = (slim.groupBy("h").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("up"), F.count(F.lit(1)).alias("n"))
-             .filter("lo < up").select("h", "n"))
+    # written first, so that the join below can split the rows of a hash that very many texts have
+    twice = stored(slim.groupBy("h").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("up"), F.count(F.lit(1)).alias("n"))
+                   .filter("lo < up").select("h", "n"), "twice")
     runs = (slim.join(twice, "h").groupBy("doc_id", "tk")
-            .agg(F.sort_array(F.collect_list(F.struct("start", "h", "n", "len", "pos"))).alias("runs")))
+            .agg(F.sort_array(F.collect_list(F.struct("at", "h", "n"))).alias("runs")))
     touched = stored(rows.join(runs, ["doc_id", "tk"]).dropDuplicates(["doc_id", "tk"]), "touched")
     pieces = touched.mapInArrow(
         _pieces(window, cell),

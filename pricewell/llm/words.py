@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 # Bytes of text handled at once; bounds the arrays of a task (about 40 bytes each).
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 _SEP = np.zeros(256, bool)
 _SEP[[9, 10, 11, 12, 13, 32]] = True
@@ -80,7 +80,10 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     """A 64-bit hash of each word: differences of prefix sums of byte times power."""
     up, down = _powers(len(data) + 1)
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:-1], out=sums[1:])
+    sums[1:] = data
+    sums[1:] += np.uint64(1)
+    sums[1:] *= up[:-1]
+    np.cumsum(sums, out=sums)
     return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
