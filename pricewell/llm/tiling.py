@@ -74,7 +74,7 @@ def tiles(item: list, text: list, least: int) -> list[tuple[int, int, int]]:
 
 
 class Seeds:
-    """The seeds of a block of items: for each seed size, hash -> (item, place)."""
+    """The seeds of a block of items: for each seed size, hash -> (item, place) and item -> seeds."""
 
     def __init__(self, items: list[tuple[int, str]], match: int, coverage: float):
         self.match, self.coverage, self.ids = match, coverage, [i for i, _ in items]
@@ -95,7 +95,11 @@ class Seeds:
             keys, begin = np.unique(mers[at], return_index=True)
             near = np.zeros(1 << 20, bool)
             near[(keys >> np.uint64(44)).astype(np.int64)] = True
-            self.tables[k] = (keys, np.append(begin, len(at)), item[at], at - first[item[at]], near)
+            begin = np.append(begin, len(at))
+            by_item = np.argsort(item[at], kind="stable")
+            seed = np.repeat(np.arange(len(keys)), np.diff(begin))[by_item]
+            own = np.searchsorted(item[at][by_item], np.arange(len(items) + 1))
+            self.tables[k] = (keys, begin, item[at], at - first[item[at]], near, [seed[a:b] for a, b in zip(own[:-1], own[1:])])
 
     def matches(self, part: pa.RecordBatch) -> Iterator[tuple[int, int, int, int, float]]:
         """(row, item, words covered, tiles, coverage) of each text that holds an item."""
@@ -103,7 +107,7 @@ class Seeds:
         if not len(starts):
             return
         h, text = word_hashes(low, starts, ends), np.repeat(np.arange(len(first) - 1), np.diff(first))
-        for k, (keys, begin, item, place, near) in self.tables.items():
+        for k, (keys, begin, item, place, near, seeds_of) in self.tables.items():
             mers = rolling(h, k)
             at = np.flatnonzero(near[(mers >> np.uint64(44)).astype(np.int64)])
             seed = np.minimum(np.searchsorted(keys, mers[at]), len(keys) - 1)
@@ -128,9 +132,9 @@ class Seeds:
             for g in np.flatnonzero(most >= self.coverage * self.size[it[head]] - 1e-9):
                 r, i = int(row[head[g]]), int(it[head[g]])
                 # only words in a seed of this item can be in a tile
-                mine = np.flatnonzero(np.isin(begin_of(seed, begin, item, i), True) & (text[at] == r))
+                own = slice(*np.searchsorted(at, first[r:r + 2]))
                 mark = np.zeros(first[r + 1] - first[r], bool)
-                for p in (at[mine] - first[r]).tolist():
+                for p in (at[own][np.isin(seed[own], seeds_of[i])] - first[r]).tolist():
                     mark[p:p + k] = True
                 words, gap = [], 0
                 for p in np.flatnonzero(mark).tolist():
@@ -145,14 +149,6 @@ class Seeds:
                     yield r, i, covered, len(found), covered / len(self.words[i])
 
 
-def begin_of(seed: np.ndarray, begin: np.ndarray, item: np.ndarray, i: int) -> np.ndarray:
-    """Whether each seed occurs in item ``i``."""
-    has = np.zeros(len(begin) - 1, bool)
-    at = np.flatnonzero(item == i)
-    has[np.searchsorted(begin, at, "right") - 1] = True
-    return has[seed]
-
-
 def blocks(spark: SparkSession, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[list[tuple[int, str]]]:
     """The items in blocks of about ``block_bytes`` of text, fetched one after the other; null texts
     and rows without item_id are left out, repeated rows count once."""
