@@ -152,7 +152,7 @@ def repeated_windows(docs: DataFrame, cell_task: Callable, window: int = WINDOW,
     found = stored(pieces.repartition("h", "salt").sortWithinPartitions("h", "salt")
                    .mapInArrow(cell_task(window), FOUND), "found")
     open_ = found.filter("shared is not null")
-    least = open_.groupBy("shared").agg(F.min("doc_id").alias("least"))
+    least = stored(open_.groupBy("shared").agg(F.min("doc_id").alias("least")), "least")
     late = open_.join(least, "shared").filter("doc_id > least").select("doc_id", "tk", "a", "b", F.col("least").alias("src"))
     spans = (found.filter("shared is null").select("doc_id", "tk", "a", "b", "src").unionByName(late)
              .groupBy("doc_id", "tk").agg(F.sort_array(F.collect_set(F.struct("a", "b", "src"))).alias("spans")))
