@@ -29,7 +29,7 @@ CELL = 1024
 # of windows and how far the position lies behind the first window.
 SCAN = "doc_id long, tk long, sha string, n_words long, runs array<struct<h: long, at: long>>"
 _LOW = 12
-FOUND = "doc_id long, tk long, a int, b int, src long, shared binary"
+FOUND = "doc_id long, tk long, a int, b int, src long, shared binary, run int, src_tk long, src_run int, src_a int"
 
 
 def joined_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[bytes, np.ndarray, np.ndarray]:
@@ -120,14 +120,18 @@ class Repeats:
     spans: DataFrame      # doc_id, tk, spans array<struct<a, b, src>>: windows a to b - 1 occur in src < doc_id
 
 
-def repeated_windows(docs: DataFrame, cell_task: Callable, window: int = WINDOW, mer: int = MER, cell: int = CELL) -> Repeats:
+def repeated_windows(docs: DataFrame, cell_task: Callable, window: int = WINDOW, mer: int = MER, cell: int = CELL,
+                     sources: bool = False) -> Repeats:
     """Find all windows of ``docs`` (doc_id, text) that also start in a document with a smaller id.
 
     ``cell_task(window)`` makes the ``mapInArrow`` function over cells: rows sorted by (h, salt) with
     doc_id, tk, start, len, pos, piece (the words the windows cover). It returns ``FOUND`` rows:
     windows a to b - 1 of a text that occur in the smaller ``src``, and, when a minimiser's rows
     are split over cells, each window of the cell's smallest document with its words in ``shared``;
-    those are compared across cells in a second step, by at most one row a cell and window.
+    those are compared across cells in a second step, by at most one row a cell and window. With
+    ``sources``, ``src`` is the smallest document of all cells: rows of split minimisers name the
+    run of windows of the cell's smallest document (src_tk, src_run, from window src_a on), through
+    which they get what the second step found for it. Without, ``src`` may be the cell's smallest.
 
     Texts with the same words are one text, represented by the smallest doc_id. Rows without doc_id
     or text have no windows. tk, a hash of the text, tells rows apart that repeat a doc_id.
@@ -153,22 +157,47 @@ def repeated_windows(docs: DataFrame, cell_task: Callable, window: int = WINDOW,
                    .mapInArrow(cell_task(window), FOUND), "found")
     open_ = found.filter("shared is not null")
     least = stored(open_.groupBy("shared").agg(F.min("doc_id").alias("least")), "least")
-    late = open_.join(least, "shared").filter("doc_id > least").select("doc_id", "tk", "a", "b", F.col("least").alias("src"))
-    spans = (found.filter("shared is null").select("doc_id", "tk", "a", "b", "src").unionByName(late)
+    late = open_.join(least, "shared").filter("doc_id > least")
+    span = ["doc_id", "tk", "a", "b", "src"]
+    inside = found.filter("shared is null")
+    if sources:
+        late = stored(late.select("doc_id", "tk", "run", "a", "b", F.col("least").alias("src")), "late")
+        # a run has at most as many windows as fit before its position, so the arrays are short
+        lower = stored(late.groupBy(F.col("doc_id").alias("_doc"), F.col("tk").alias("_tk"), F.col("run").alias("_run"))
+                       .agg(F.collect_set(F.struct("a", "src")).alias("lower")), "lower")
+        of_run = (F.col("src") == F.col("_doc")) & (F.col("src_tk") == F.col("_tk")) & (F.col("src_run") == F.col("_run"))
+        least_src = F.expr("least(src, array_min(transform(filter(lower, x -> x.a >= src_a and x.a < src_a + b - a), x -> x.src)))")
+        carried = inside.filter("src_tk is not null").join(lower, of_run, "left").withColumn("src", least_src)
+        inside = inside.filter("src_tk is null").select(*span).unionByName(carried.select(*span))
+    else:
+        late = late.withColumn("src", F.col("least"))
+    spans = (inside.select(*span).unionByName(late.select(*span))
              .groupBy("doc_id", "tk").agg(F.sort_array(F.collect_set(F.struct("a", "b", "src"))).alias("spans")))
     return Repeats(scan.drop("runs"), first, touched.drop("runs"), spans)
 
 
-def found_batch(doc: np.ndarray, tk: np.ndarray, a: np.ndarray, b: np.ndarray, src: np.ndarray, shared: list) -> pa.RecordBatch:
+def found_batch(doc: np.ndarray, tk: np.ndarray, a: np.ndarray, b: np.ndarray, src: np.ndarray, shared: list,
+                run: np.ndarray | None = None, via: tuple[pa.Array, ...] | None = None) -> pa.RecordBatch:
+    """``FOUND`` rows; ``run`` the first window of the row's run, ``via`` src_tk, src_run and src_a."""
+    n = len(doc)
+    via = via or (pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int32()))
     return pa.RecordBatch.from_arrays(
-        [pa.array(doc), pa.array(tk), pa.array(a.astype(np.int32)), pa.array(b.astype(np.int32)), pa.array(src),
-         pa.array(shared, pa.binary())], ["doc_id", "tk", "a", "b", "src", "shared"])
+        [pa.array(doc), pa.array(tk), pa.array(a.astype(np.int32)), pa.array(b.astype(np.int32)), pa.array(src), pa.array(shared, pa.binary()),
+         pa.nulls(n, pa.int32()) if run is None else pa.array(run.astype(np.int32)), *via],
+        ["doc_id", "tk", "a", "b", "src", "shared", "run", "src_tk", "src_run", "src_a"])
 
 
-def merge_windows(row: np.ndarray, at: np.ndarray, src: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Windows (row, start, source) as spans (row, a, b, source) of consecutive starts."""
+def merge_windows(row: np.ndarray, at: np.ndarray, src: np.ndarray, rep: np.ndarray | None = None,
+                  rep_at: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+    """Windows (row, start, source) as spans (row, a, b, source) of consecutive starts. With ``rep``
+    and ``rep_at``, the row and start of the same window in the source, also these of a span's
+    first window; they are consecutive in a span too."""
     order = np.lexsort((at, row))
     row, at, src = row[order], at[order], src[order]
     new = np.append(True, (row[1:] != row[:-1]) | (at[1:] != at[:-1] + 1) | (src[1:] != src[:-1])) if len(row) else np.zeros(0, bool)
+    if rep is not None and len(row):
+        rep, rep_at = rep[order], rep_at[order]
+        new[1:] |= (rep[1:] != rep[:-1]) | (rep_at[1:] - rep_at[:-1] != (rep[1:] >= 0))
     k = np.flatnonzero(new)
-    return row[k], at[k], at[np.append(k[1:], len(row)) - 1] + 1 if len(k) else at[k], src[k]
+    spans = row[k], at[k], at[np.append(k[1:], len(row)) - 1] + 1 if len(k) else at[k], src[k]
+    return spans if rep is None else (*spans, rep[k], rep_at[k])

@@ -56,7 +56,7 @@ def compared_suffixes(window: int):
             left, l_shared = sorted_extensions(side(-1, window - 1), group)
             before = pos - start
             r_class, l_class = np.empty(n, np.int64), np.empty(n, np.int64)
-            rows, wins, srcs, open_row, open_win = [], [], [], [], []
+            rows, wins, srcs, reps, rep_wins, open_row, open_win = [], [], [], [], [], [], []
             for o in range(int(before.max()) + 1):
                 r_class[right] = np.cumsum(r_shared < window - o)
                 l_class[left] = np.cumsum(l_shared < o)
@@ -67,18 +67,23 @@ def compared_suffixes(window: int):
                 order = np.lexsort((doc[has], key))
                 row, key = has[order], key[order]
                 new = np.append(True, key[1:] != key[:-1])
-                least = doc[row][new][np.cumsum(new) - 1]
+                rep = row[new][np.cumsum(new) - 1]
+                least = doc[rep]
                 late = doc[row] > least
                 rows.append(row[late]), wins.append((pos - o)[row[late]]), srcs.append(least[late])
+                # where a minimiser is split, the window's place in the cell's smallest document
+                rep = np.where(split[row], rep, -1)[late]
+                reps.append(rep), rep_wins.append(np.where(rep >= 0, (pos - o)[rep], 0))
                 stay = row[~late & split[row]]
                 open_row.append(stay), open_win.append((pos - o)[stay])
-            row, a, b, src = merge_windows(np.concatenate(rows), np.concatenate(wins), np.concatenate(srcs))
-            yield found_batch(doc[row], tk[row], a, b, src, [None] * len(row))
+            row, a, b, src, rep, rep_a = merge_windows(*(np.concatenate(x) for x in (rows, wins, srcs, reps, rep_wins)))
+            via = tuple(pa.array(x, mask=rep < 0) for x in (tk[rep], start[rep].astype(np.int32), rep_a.astype(np.int32)))
+            yield found_batch(doc[row], tk[row], a, b, src, [None] * len(row), via=via)
             row, a = np.concatenate(open_row), np.concatenate(open_win)
             if len(row):
                 w = first[row] + a - start[row]
                 yield found_batch(doc[row], tk[row], a, a + 1, doc[row],
-                                  [raw[s:e] for s, e in zip(starts[w].tolist(), ends[w + window - 1].tolist())])
+                                  [raw[s:e] for s, e in zip(starts[w].tolist(), ends[w + window - 1].tolist())], run=start[row])
     return run
 
 
@@ -93,7 +98,7 @@ def repeated_passages(docs: DataFrame, window: int = WINDOW, mer: int = MER, cel
     smallest document of each passage. Rows that repeat a doc_id count as one document each, and do
     not repeat each other. An empty table gives an empty result; other columns are ignored.
     """
-    found = repeated_windows(docs, compared_suffixes, window, mer, cell)
+    found = repeated_windows(docs, compared_suffixes, window, mer, cell, sources=True)
     # consecutive or overlapping windows of a document become one passage
     one = F.aggregate(
         "spans", F.expr("cast(array() as array<struct<a: int, b: int, src: bigint>>)"),

@@ -109,6 +109,27 @@ def test_sparse_suffixes_equal_brute_force(frame, cell):
             assert all((d, *y) in copies or y in want[d] for y in spans)
 
 
+@pytest.mark.parametrize("cell", [3, 7])
+def test_split_minimisers_name_the_smallest_document(spark, cell):
+    rnd = random.Random(4)
+    new = lambda n: [f"x{rnd.randrange(10**6)}" for _ in range(n)]
+    passages = [new(n) for n in (50, 90, 200)]
+    rows = []
+    for k in range(60):
+        body = new(20)
+        for p in rnd.sample(passages, rnd.randint(1, 3)):
+            body += p[rnd.choice([0, 0, 10]):] + new(3)
+        rows.append((1000 - 7 * k, " ".join(body)))
+    rows.append((1000, rows[5][1] + " other"))
+    got = {(r.doc_id, r.first_word, r.end_word, r.kept_in)
+           for r in sparse_suffix.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string"), cell=cell).collect()}
+    want = set()
+    for (d, _), (w, gone, src) in zip(rows, brute(rows)):
+        edge = [i for i in range(len(w) + 1) if (i < len(w) and gone[i]) != (i > 0 and gone[i - 1])]
+        want |= {(d, i, j, min(src[x] for x in range(i, j))) for i, j in zip(edge[::2], edge[1::2])}
+    assert got == want
+
+
 def test_empty_table(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert superkmer_dedup.dedup_substrings(empty).count() == 0
