@@ -2,8 +2,10 @@
 
 A suffix automaton of labelled text is built per language. A text is parsed from left to right into
 phrases, each the longest match with the automaton's text; a language with familiar text needs few
-phrases. Its cost is phrases * log2(size of its sample) / bytes of the text, the bits a byte takes
-when phrases are sent as places in the sample, and the cheapest language wins.
+phrases. Its cost is phrases * log2(size of the largest sample) / bytes of the text, the bits a byte
+takes when phrases are sent as places in a sample, and the cheapest language wins. A phrase costs the
+same in every language, so a tiny sample isn't cheap; a byte that the language's sample lacks and
+another one has costs 8 bits besides, the byte itself.
 
 The labelled sample is bounded: ``SAMPLE_DOCS`` training documents a language, those with the
 smallest hash of doc_id, of which ``SAMPLE_BYTES`` bytes in all are learned. Every text to be
@@ -23,6 +25,7 @@ from pyspark.sql import functions as F
 from .words import slices, text_bytes
 
 SAMPLE_DOCS, SAMPLE_BYTES, SEGMENT = 64, 32_768, 512
+LITERAL = 8
 UNKNOWN = "und"
 
 # Byte classes: A-Z as a-z, every other ASCII byte that is no letter as a space.
@@ -100,7 +103,8 @@ _MODELS: dict[str, tuple] = {}
 
 
 def _model(samples: dict[str, bytes]) -> tuple:
-    """(languages, byte classes, tables, bits a phrase), built once a process."""
+    """(languages, byte classes, tables, bits a phrase, per language the classes of bytes it lacks),
+    built once a process."""
     key = hashlib.sha256(repr(sorted(samples.items())).encode()).hexdigest()
     if key not in _MODELS:
         used = np.unique(np.frombuffer(b"".join(samples.values()), np.uint8))
@@ -109,14 +113,18 @@ def _model(samples: dict[str, bytes]) -> tuple:
         size = len(used) + 2
         names = sorted(samples, key=lambda x: x.encode())
         _MODELS.clear()
+        lacks = np.ones((len(names), size), bool)
+        lacks[:, [0, size - 1]] = False   # padding; bytes that no sample has cost every language the same
+        for k, x in enumerate(names):
+            lacks[k, classes[np.frombuffer(samples[x], np.uint8)]] = False
         _MODELS[key] = (names, classes, [automaton(samples[x], classes, size) for x in names],
-                        [np.log2(max(2, len(samples[x]))) for x in names])
+                        np.log2(max(2, *map(len, samples.values()))), lacks)
     return _MODELS[key]
 
 
 def costs(samples: dict[str, bytes], data: np.ndarray, off: np.ndarray) -> np.ndarray:
     """Bits a byte of each text (rows) in each language (columns)."""
-    _, classes, tables, bits = _model(samples)
+    _, classes, tables, bits, lacks = _model(samples)
     folded = classes[fold(data)]
     size = np.diff(off)
     each = -(-size // SEGMENT)
@@ -131,7 +139,10 @@ def costs(samples: dict[str, bytes], data: np.ndarray, off: np.ndarray) -> np.nd
         cells = np.where(at < stop[:, None], folded[np.minimum(at, len(folded) - 1)], 0)
         columns = np.ascontiguousarray(cells.T).astype(np.int32)
         for k, table in enumerate(tables):
-            out[:, k] += np.bincount(row[s:s + 8192], phrases(table, columns), len(size)) * bits[k]
+            out[:, k] += np.bincount(row[s:s + 8192], phrases(table, columns), len(size)) * bits
+    for k in np.flatnonzero(lacks.any(axis=1)):
+        lacking = np.append(0, np.cumsum(lacks[k][folded]))
+        out[:, k] += LITERAL * (lacking[off[1:]] - lacking[off[:-1]])
     return out / np.maximum(size, 1)[:, None]
 
 

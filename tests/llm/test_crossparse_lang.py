@@ -78,3 +78,12 @@ def test_odd_rows(spark):
     assert {r.lang_pred for r in op.identify(df.withColumn("lang", df.lang.substr(1, 0))).collect()} <= {"", "und"}
     none = df.selectExpr("doc_id", "text", "cast(null as string) as lang")
     assert {r.lang_pred for r in op.identify(none).collect()} == {"und"}
+
+
+@pytest.mark.parametrize("stray", ["ok", "ok then", "a", "the cat sat ok"])
+def test_a_language_of_one_short_row_wins_no_other_texts(spark, stray):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    samples = op.learn(docs)
+    before = {r.doc_id: r.lang_pred for r in op.predict(docs, samples).collect()}
+    more = op.predict(docs, {**samples, "zz": stray.encode()}).collect()
+    assert {r.doc_id: r.lang_pred for r in more} == before
