@@ -19,7 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import components, forest, pair_cells, stored, whole_groups
@@ -27,7 +27,7 @@ from .words import slices, text_bytes, word_spans
 
 SHINGLE, MAX_BITS, SEED = 3, 3, 42
 CELL = 1024
-FP = "_fp"
+FP, HASH = "_fp", "_text_hash"
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -185,14 +185,16 @@ def link_fingerprints(fps: DataFrame, bits: int = MAX_BITS, cell: int = CELL) ->
     return dealt.mapInArrow(_compare(bits), "a long, b long").distinct()
 
 
-def grouped_fingerprints(docs: DataFrame, shingle: int, bits: int) -> tuple[DataFrame, DataFrame]:
-    """(doc_id and fp of each row; per distinct fp: n_same, root, component_id)."""
-    prints = stored(with_simhash(docs, ["doc_id"], shingle).withColumnRenamed(FP, "fp"), "fingerprints")
-    fps = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n_same")), "distinct-fp")
+def grouped_fingerprints(docs: DataFrame, shingle: int, bits: int, keep: tuple[str, ...] = ("doc_id",)) -> tuple[DataFrame, DataFrame]:
+    """(``keep`` and fp of each row; per distinct fp: n_same, root, component_id, and as least the
+    smallest ``keep`` of the component's rows with a doc_id)."""
+    prints = stored(with_simhash(docs, [*keep], shingle).withColumnRenamed(FP, "fp"), "fingerprints")
+    named = F.when(F.col("doc_id").isNotNull(), F.struct(*keep))
+    fps = stored(prints.groupBy("fp").agg(F.min(named).alias("first"), F.count(F.lit(1)).alias("n_same")), "distinct-fp")
     nodes = components(link_fingerprints(fps, bits)).withColumnRenamed("node", "fp")
     rooted = fps.join(nodes, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    return prints, stored(rooted.join(least, "root").select("fp", "n_same", "root", "component_id"), "groups")
+    least = rooted.groupBy("root").agg(F.min("first").alias("least"))
+    return prints, stored(rooted.join(least, "root").select("fp", "n_same", "root", F.col("least.doc_id").alias("component_id"), "least"), "groups")
 
 
 def near_dedup(docs: DataFrame, shingle: int = SHINGLE, bits: int = MAX_BITS) -> DataFrame:
@@ -209,13 +211,14 @@ def near_dedup(docs: DataFrame, shingle: int = SHINGLE, bits: int = MAX_BITS) ->
 
 def kept_documents(docs: DataFrame, shingle: int = SHINGLE, bits: int = MAX_BITS) -> DataFrame:
     """The rows of ``docs`` that stay, one per component: the row with the smallest doc_id (of rows
-    that repeat it, that whose text has the smallest hash), or any one where no row has a doc_id.
-    The texts take part in one exchange, by doc_id."""
-    prints, groups = grouped_fingerprints(docs, shingle, bits)
-    keep = groups.filter("component_id is not null").select(F.col("component_id").alias("_keep")).distinct()
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
-    named = (docs.join(keep, docs.doc_id == keep._keep, "left_semi").withColumn("_row", first)
-             .filter("_row = 1").select(*docs.columns))
+    that repeat it in the component, that whose text has the smallest hash), or any one where no row
+    has a doc_id. Components whose smallest doc_id is the same keep a row each. The texts take part
+    in one exchange, by doc_id and hash of the text."""
+    hashed = docs.withColumn(HASH, F.xxhash64("text"))
+    prints, groups = grouped_fingerprints(hashed, shingle, bits, ("doc_id", HASH))
+    # equal texts have equal fingerprints, so doc_id and hash name one component
+    keep = groups.filter("component_id is not null").select("least.doc_id", f"least.{HASH}").distinct()
+    named = hashed.join(keep, ["doc_id", HASH], "left_semi").dropDuplicates(["doc_id", HASH]).select(*docs.columns)
     nameless = (with_simhash(docs.filter("doc_id is null"), docs.columns, shingle)
                 .join(groups.filter("component_id is null").select(F.col("fp").alias(FP), F.col("root").alias("_root")), FP)
                 .dropDuplicates(["_root"]).select(*docs.columns))

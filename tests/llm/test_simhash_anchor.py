@@ -110,3 +110,16 @@ def test_repeats_nulls_and_empty_tables(spark):
     assert sorted((str(r.doc_id), str(r.text)) for r in kept.collect()) == [("7", "a b c d"), ("9", "None"), ("None", "q r s t")]
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert op.near_dedup(empty).count() == 0 and op.kept_documents(empty).count() == 0
+
+
+def test_one_row_of_each_group_stays_where_a_doc_id_repeats(spark):
+    rnd = random.Random(8)
+    texts = [" ".join(f"{c}{rnd.randrange(10**6)}" for _ in range(60)) for c in "abcd"]
+    prints = [brute_print(t) for t in texts]
+    assert all(bin(x ^ y).count("1") > 3 for x, y in itertools.combinations(prints, 2))
+    a, b, c, d = texts
+    rows = [(5, a), (5, b), (5, b), (3, b), (9, c), (9, d), (9, a), (None, d)]
+    kept = op.kept_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == sorted([(5, a), (3, b), (9, c), (9, d)])
+    again = op.kept_documents(spark.createDataFrame([(5, t) for t in texts], "doc_id long, text string")).collect()
+    assert sorted(r.text for r in again) == sorted(texts)
