@@ -6,8 +6,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (chat_collapse, crossparse_lang, embedding_dedup, mix_threshold, simhash_anchor, sparse_suffix,
-               superkmer_dedup, tiling, token_repair, vector_packing)
+from . import (chat_collapse, conversation_repair, crossparse_lang, embedding_dedup, importance_resample, mix_threshold,
+               pii_crf, simhash_anchor, sparse_suffix, superkmer_dedup, tiling, token_repair, vector_packing)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,10 +60,23 @@ def op10_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tiling.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance_resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair(conversation_repair.damage(table(spark, sf_dir, "conversations")))
+
+
+def op13_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_crf.digest(pii_crf.personal_data(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_embedding_dedup, op2_token_repair, op3_chat_collapse, op4_vector_packing, op5_simhash_anchor,
-        op6_sparse_suffix, op7_superkmer_dedup, op8_mix_threshold, op9_crossparse_lang, op10_string_tiling)
+        op6_sparse_suffix, op7_superkmer_dedup, op8_mix_threshold, op9_crossparse_lang, op10_string_tiling, op11_importance_resample,
+        op12_conversation_repair, op13_pii_crf)
 }
 
 ORACLE_SQL: dict[str, str] = {
