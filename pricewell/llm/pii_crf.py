@@ -379,5 +379,8 @@ def digest(found: DataFrame) -> DataFrame:
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(
             ":", F.element_at(name, s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS)]
+    def count(k: int):
+        return F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long")
+
+    counts = [count(k).alias(f"n_{n}") for k, n in enumerate(KINDS)]
     return found.select("doc_id", *counts, F.sha2(text("base"), 256).alias("base_sha256"), text("spans").alias("spans"))
