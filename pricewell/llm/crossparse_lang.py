@@ -7,8 +7,10 @@ takes when phrases are sent as places in a sample, and the cheapest language win
 same in every language, so a tiny sample isn't cheap; a byte that the language's sample lacks and
 another one has costs 8 bits besides, the byte itself.
 
-The labelled sample is bounded: ``SAMPLE_DOCS`` training documents a language, those with the
-smallest hash of doc_id, of which ``SAMPLE_BYTES`` bytes in all are learned. Every text to be
+The labelled sample is bounded: of the ``LANGUAGES`` languages with most training rows,
+``SAMPLE_DOCS`` documents each, those with the smallest hash of doc_id. Their texts are cut into blocks
+of ``BLOCK`` characters, and blocks from hash-chosen places over the whole texts, in turn of the
+documents, are learned until a language has ``SAMPLE_BYTES`` bytes. Every text to be
 labelled is parsed whole, in segments of ``SEGMENT`` bytes that run side by side through the
 automaton's transition table.
 """
@@ -22,9 +24,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .shared import stored
 from .words import slices, text_bytes
 
 SAMPLE_DOCS, SAMPLE_BYTES, SEGMENT = 64, 32_768, 512
+LANGUAGES, BLOCK = 256, 128
 LITERAL = 8
 UNKNOWN = "und"
 
@@ -170,28 +174,40 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
 
 
-def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_bytes: int = SAMPLE_BYTES) -> dict[str, bytes]:
+def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_bytes: int = SAMPLE_BYTES,
+          languages: int = LANGUAGES) -> dict[str, bytes]:
     """The bounded sample: folded text by language, from documents with text, lang and doc_id that
-    are not held out. At most ``sample_docs`` rows a language reach the driver, each cut to
-    ``sample_bytes``; rows are dealt their share of the bytes."""
+    are not held out; rows that repeat a doc_id and lang count as one, with the text of the smallest
+    hash. The driver gets at most ``sample_docs`` rows for each of ``languages`` languages and about
+    twice ``sample_bytes`` characters a language."""
     rows = docs.filter("doc_id is not null and lang is not null and length(text) > 0").filter(~held_out(F.col("doc_id")))
+    slim = stored(rows.select("doc_id", "lang"), "labelled")
+    names = [r.lang for r in slim.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()]
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = (rows.select("doc_id", "lang").withColumn("_r", F.row_number().over(order))
-              .filter(F.col("_r") <= sample_docs).drop("_r"))
-    # at most sample_docs rows for each language code
-    picked = (docs.join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi").filter("length(text) > 0")
-              .select("doc_id", "lang", F.substring("text", 1, sample_bytes).alias("text")).collect())
-    share = max(1, sample_bytes // sample_docs)
-    found: dict[str, list[bytes]] = {}
-    for r in sorted(picked, key=lambda r: (r.doc_id, r.text)):
-        found.setdefault(r.lang, []).append(fold(np.frombuffer(r.text.encode(), np.uint8)).tobytes())
-    # shares that short documents leave go to the longer ones
+    chosen = (slim.filter(F.col("lang").isin(names)).distinct().withColumn("_r", F.row_number().over(order))
+              .filter(F.col("_r") <= sample_docs))
+    each = F.ceil(F.lit(2.0 * sample_bytes / BLOCK) / F.max("_r").over(Window.partitionBy("lang"))).cast("int")
+    # at most sample_docs rows for each of the languages
+    chosen = chosen.withColumn("_each", each).drop("_r")
+    picked = (rows.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"])
+              .groupBy("doc_id", "lang", "_each").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text"))["text"].alias("text")))
+    places = F.transform(F.sequence(F.lit(0), F.floor((F.length("text") - 1) / BLOCK).cast("int")),
+                         lambda b: F.struct(F.xxhash64("doc_id", b).alias("h"), b.alias("b")))
+    taken = F.transform(F.slice(F.array_sort(places), F.lit(1), F.col("_each")),
+                        lambda x: F.substring("text", x["b"] * BLOCK + 1, F.lit(BLOCK)))
+    found: dict[str, list[list[str]]] = {}
+    for r in sorted(picked.select("doc_id", "lang", taken.alias("blocks")).collect(), key=lambda r: r.doc_id):
+        found.setdefault(r.lang, []).append(r.blocks)
     out = {}
     for lang, texts in found.items():
-        cut = share
-        while cut < sample_bytes and sum(min(len(t), cut) for t in texts) < sample_bytes // 2:
-            cut *= 2
-        out[lang] = b" ".join(t[:cut] for t in texts)[:sample_bytes]
+        turns = [t[k] for k in range(max(map(len, texts))) for t in texts if k < len(t)]
+        folded, size = [], 0
+        for block in turns:
+            folded.append(fold(np.frombuffer(block.encode(), np.uint8)).tobytes())
+            size += len(folded[-1]) + 1
+            if size > sample_bytes:
+                break
+        out[lang] = b" ".join(folded)[:sample_bytes]
     return out
 
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import WORD, stored
+from .shared import WORD, numbered, row_number_of, stored
 
 WEIGHTS, EPOCHS = (5.0, 2.0, 1.0), 3
 HASH_BITS, STEP = 60, 12
@@ -22,9 +22,11 @@ def word_count(text: str = "text") -> Column:
 
 
 def row_hash() -> Column:
-    """60 bits of the MD5 of doc_id as text; of the text where there is no doc_id."""
-    key = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text "), F.coalesce("text", F.lit(""))))
-    return F.conv(F.substring(F.md5(key), 1, HASH_BITS // 4), 16, 10).cast("long")
+    """60 bits: 28 of the MD5 of doc_id as text (nothing where there is none), and 32 of the MD5 of
+    the text's digest and the number among equal rows, which part the rows of one doc_id."""
+    own = F.md5(F.concat_ws(":", "digest", F.col("nth").cast("string")))
+    hexed = F.concat(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 1, 7), F.substring(own, 1, 8))
+    return F.conv(hexed, 16, 10).cast("long")
 
 
 def targets(sizes: DataFrame, weights: tuple = WEIGHTS, epochs: int = EPOCHS) -> DataFrame:
@@ -55,8 +57,7 @@ def thresholds(rows: DataFrame, goals: DataFrame) -> DataFrame:
     """``goals`` (source, source_size, target) with ``whole`` (times all documents are taken) and
     ``below``: documents of ``rows`` (source, size, u) with u < below are taken once more.
 
-    The words below the threshold are within half of one document (of all rows with one hash) of
-    what is left of the target.
+    The words below the threshold are within half of one document of what is left of the target.
     """
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
     state = goals.withColumn("whole", whole).select(
@@ -82,24 +83,33 @@ def thresholds(rows: DataFrame, goals: DataFrame) -> DataFrame:
     return goals.join(state.select("s", "whole", below.alias("below")), goals.source.eqNullSafe(F.col("s"))).drop("s")
 
 
-def plan_mix(docs: DataFrame, weights: tuple = WEIGHTS, epochs: int = EPOCHS) -> tuple[DataFrame, DataFrame]:
-    """(rows, plan): rows has doc_id, source, size, u; plan has one row per source."""
-    rows = stored(docs.select("doc_id", "source", word_count().alias("size"), row_hash().alias("u")), "sizes")
+def hashed_rows(docs: DataFrame, *carried: Column) -> DataFrame:
+    """doc_id, source, size, u and ``carried`` of each row of ``docs``, from a copy of the rows, since
+    their numbers have to stay."""
+    copy = stored(docs.select(*carried, "doc_id", "source", word_count().alias("size"),
+                              F.md5(F.coalesce("text", F.lit(""))).alias("digest"), row_number_of()), "rows")
+    return numbered(copy, ["doc_id", "digest"]).withColumn("u", row_hash()).drop("digest", "rid", "nth")
+
+
+def plan_mix(rows: DataFrame, weights: tuple = WEIGHTS, epochs: int = EPOCHS) -> DataFrame:
+    """One row per source of ``rows`` (a stored table with source, size, u): its size, target, and
+    what is taken of it."""
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     goals = stored(targets(sizes, weights, epochs), "targets")
-    return rows, stored(thresholds(rows, goals), "plan")
+    return stored(thresholds(rows, goals), "plan")
 
 
 def mix(docs: DataFrame, weights: tuple = WEIGHTS, epochs: int = EPOCHS) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text, source): doc_id, size (words), source_size, target
     (both of its source), taken (words the mix takes of it, repeats counted).
 
-    Null texts have no words. Rows that repeat a doc_id are taken alike; rows without doc_id are
-    told apart by text. Reruns agree, since only hashes decide. An empty table gives an empty
-    result; other columns are ignored.
+    Null texts have no words and count as empty ones. Rows that repeat a doc_id are told apart by
+    text and by a number among equal ones, so each is taken or left for itself and targets are met
+    by single rows. Reruns agree, since only hashes decide; which of equal rows is taken is open. An
+    empty table gives an empty result; other columns are ignored.
     """
-    rows, plan = plan_mix(docs, weights, epochs)
-    plan = plan.withColumnRenamed("source", "_s")
+    rows = stored(hashed_rows(docs), "sizes")
+    plan = plan_mix(rows, weights, epochs).withColumnRenamed("source", "_s")
     return (rows.join(plan, rows.source.eqNullSafe(plan._s))
             .select("doc_id", "size", "source_size", "target", (F.col("size") * copies()).alias("taken")))
 
@@ -110,18 +120,19 @@ def copies() -> Column:
 
 def mixed_documents(docs: DataFrame, weights: tuple = WEIGHTS, epochs: int = EPOCHS) -> DataFrame:
     """The rows of ``docs`` that the mix takes, each as often as it is taken, with its columns."""
-    _, plan = plan_mix(docs, weights, epochs)
-    plan = plan.select(F.col("source").alias("_source"), F.col("whole").alias("_whole"), F.col("below").alias("_below"))
-    times = F.col("_whole") + F.when(row_hash() < F.col("_below"), 1).otherwise(0)
-    joined = docs.join(plan, docs.source.eqNullSafe(plan._source))
-    return joined.withColumn("_n", F.explode(F.array_repeat(F.lit(1), times.cast("int")))).select(*docs.columns)
+    rows = hashed_rows(docs, F.struct(*docs.columns).alias("row"))
+    plan = plan_mix(stored(rows.select("source", "size", "u"), "sizes"), weights, epochs).withColumnRenamed("source", "_s")
+    joined = rows.join(plan, rows.source.eqNullSafe(plan._s))
+    return (joined.withColumn("_n", F.explode(F.array_repeat(F.lit(1), copies().cast("int"))))
+            .select(*[F.col("row").getField(c).alias(c) for c in docs.columns]))
 
 
 _WEIGHT = "case (row_number() over (order by source nulls last) - 1) % 3 when 0 then 5.0::double when 1 then 2.0::double else 1.0::double end"
 ORACLE = rf"""
 with d as (
   select doc_id, source, cast(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) as bigint) as size,
-         cast('0x' || substr(md5(cast(doc_id as varchar)), 1, 15) as bigint) as u
+         cast('0x' || substr(md5(coalesce(cast(doc_id as varchar), '')), 1, 7) || substr(md5(concat(md5(coalesce(text, '')), ':',
+              row_number() over (partition by doc_id, coalesce(text, '')) - 1)), 1, 8) as bigint) as u
   from documents),
 s as (select source, cast(sum(size) as bigint) as source_size from d group by source),
 w as (select *, {_WEIGHT} as weight, source_size * 3.0::double as cap from s),

@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
@@ -75,6 +75,34 @@ def pair_cells(df: DataFrame, keys: list[str], unit: Column, most: int,
     return dealt.repartition(*cell).sortWithinPartitions(*cell)
 
 
+def row_number_of() -> Column:
+    """A number for each row, fixed once the table is ``stored``: the writing task and a count."""
+    return F.monotonically_increasing_id().alias("rid")
+
+
+def numbered(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` (a stored table with ``rid``) with ``nth``: rows with equal ``keys`` (nulls are equal)
+    get 0, 1, 2, ..., which of them gets which follows ``rid``.
+
+    A key's rows are numbered task by task that wrote them, after a sum over the tasks before, so a
+    key with a third of all rows is numbered by many tasks. Only rows of repeated keys are shuffled.
+    """
+    task = F.shiftright("rid", 33)
+    of_key = Window.partitionBy(*keys)
+    counts = rows.groupBy(*keys, task.alias("_task")).agg(F.count(F.lit(1)).alias("_n"))
+    again = stored(counts.withColumn("_all", F.sum("_n").over(of_key))
+                   .withColumn("_before", F.sum("_n").over(of_key.orderBy("_task")) - F.col("_n"))
+                   .filter("_all > 1").select(*[F.col(k).alias(f"_{k}") for k in keys], "_task", "_before"), "repeats")
+    same = F.col("_task") == task
+    for k in keys:
+        same &= F.col(k).eqNullSafe(F.col(f"_{k}"))
+    joined = rows.join(again, same, "left")
+    among = F.row_number().over(Window.partitionBy(*keys, "_task").orderBy("rid")) - 1
+    own = [*rows.columns, "nth"]
+    return (joined.filter("_before is null").withColumn("nth", F.lit(0).cast("long")).select(*own)
+            .union(joined.filter("_before is not null").withColumn("nth", F.col("_before") + among).select(*own)))
+
+
 def whole_groups(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
     """Cut a stream sorted by ``keys`` into tables of whole groups; also yields the row number at
     which each group starts, and the end. Holds one batch and one group at a time."""

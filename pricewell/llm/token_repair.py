@@ -18,12 +18,13 @@ Symbols below the vocabulary size are ids; symbol ``vocabulary + k`` is rule k.
 """
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
 import zlib
 from collections.abc import Iterator
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -48,10 +49,13 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _PLAIN = np.zeros(256, bool)      # letters and digits of ASCII
 _PLAIN[48:58] = _PLAIN[65:91] = _PLAIN[97:123] = True
+_LETTER = _PLAIN.copy()
+_LETTER[48:58] = False
 _SIGN = ~_PLAIN & ~_SPACE         # other printing characters of ASCII
 _SIGN[:33] = _SIGN[127:] = False
+# the set of first bytes lets a search pass over the others quickly
 _OTHER_SPACE = re.compile(
-    b"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
+    b"[\xc2\xe1\xe2\xe3](?:(?<=\xc2)[\x85\xa0]|(?<=\xe1)\x9a\x80|(?<=\xe2)\x80[\x80-\x8a\xa8\xa9\xaf]|(?<=\xe2)\x81\x9f|(?<=\xe3)\x80\x80)")
 
 
 def piece_spans(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -72,9 +76,34 @@ def piece_spans(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return starts, np.append(starts[1:], len(data)), np.searchsorted(starts, off)
 
 
+def is_word(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Whether each piece is a single word of letters of ASCII and U+00C0 to U+00FF, with or without
+    one space before it: a pre-token by itself."""
+    letter = _LETTER[data]
+    lead = np.flatnonzero(data[:-1] == 0xC3)
+    lead = lead[(data[lead + 1] >= 0x80) & (data[lead + 1] != 0x97) & (data[lead + 1] != 0xB7)]
+    letter[lead] = letter[lead + 1] = True
+    others = np.append(0, np.cumsum(~letter))
+    first = starts + (data[starts] == 32)
+    return (first < ends) & (others[ends] == others[first])
+
+
 _KEEP = np.array([(1 << 8 * k) - 1 for k in range(8)] + [(1 << 64) - 1], np.uint64)
 
 
+def _byte_characters() -> np.ndarray:
+    """The character that stands for each byte in a byte-level vocabulary: printing characters of
+    Latin-1 for themselves, the other bytes in order from U+0100."""
+    printing = np.zeros(256, bool)
+    printing[33:127] = printing[161:173] = printing[174:256] = True
+    out = np.arange(256)
+    out[~printing] = 256 + np.arange((~printing).sum())
+    return out.astype("<u2")
+
+
+_CHARACTER = _byte_characters()
+
+
 def heads(raw: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """The first eight bytes of each piece with its length, in one number."""
     view = np.ndarray((len(raw) + 1,), "<u8", raw + bytes(8), strides=(1,))
@@ -87,7 +116,9 @@ class Encoder:
 
     Pieces recur, so each is encoded once and its ids are kept under a 64-bit hash; a piece that
     differs from the kept one in length or first bytes, a text with the string of an added token,
-    and one with white space beyond ASCII make the library encode the whole text instead.
+    and one with white space beyond ASCII make the library encode the whole text instead. A piece
+    that is one word goes to the library's model alone, since there is nothing to split in it.
+    A vocabulary of more than 65,536 ids does not fit the shards and raises a ValueError.
     """
 
     def __init__(self, path: str):
@@ -95,8 +126,14 @@ class Encoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        if self.vocabulary > SYMBOLS:
+            raise ValueError(f"shards hold 16-bit symbols; the tokenizer has {self.vocabulary} ids")
+        parts = json.loads(self.tokenizer.to_str())
+        split = parts.get("pre_tokenizer") or {}
+        self.direct = (parts.get("normalizer") is None and parts["model"].get("type") == "BPE" and split.get("type") == "ByteLevel"
+                       and split.get("use_regex", True) and not split.get("add_prefix_space", True))
         added = [re.escape(t.content.encode()) for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.special = re.compile(b"|".join([*added, _OTHER_SPACE.pattern]))
+        self.special = [re.compile(b"|".join(added)), _OTHER_SPACE] if added else [_OTHER_SPACE]
         self.forget()
 
     def forget(self) -> None:
@@ -119,12 +156,28 @@ class Encoder:
         n = self.length[known]
         return self.ids[np.arange(n.sum()) + np.repeat(self.begin[known] - np.cumsum(n) + n, n)]
 
-    def _learn(self, pieces: list[str], hashes: np.ndarray, head: np.ndarray) -> None:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+    def _encode_pieces(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[list[int]]:
+        size = ends - starts
+        ends = np.cumsum(size)
+        data = data[np.arange(ends[-1]) + np.repeat(starts - ends + size, size)]
+        starts, raw = ends - size, data.tobytes()
+        word = is_word(data, starts, ends) & self.direct
+        found: list[list[int]] = [[]] * len(starts)
+        if word.any():
+            said, tokenize = _CHARACTER[data].tobytes().decode("utf-16-le"), self.tokenizer.model.tokenize
+            for i, a, b in zip(np.flatnonzero(word).tolist(), starts[word].tolist(), ends[word].tolist()):
+                found[i] = [t.id for t in tokenize(said[a:b])]
+        rest = np.flatnonzero(~word).tolist()
+        pieces = [raw[starts[i]:ends[i]].decode("utf-8", "surrogatepass") for i in rest]
+        for i, e in zip(rest, self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)):
+            found[i] = e.ids
+        return found
+
+    def _learn(self, found: list[list[int]], hashes: np.ndarray, head: np.ndarray) -> None:
         length = np.fromiter(map(len, found), np.int64, len(found))
-        self.number.update(zip(hashes.tolist(), range(len(self.hash), len(self.hash) + len(pieces))))
+        self.number.update(zip(hashes.tolist(), range(len(self.hash), len(self.hash) + len(found))))
         self.begin = np.append(self.begin, len(self.ids) + np.cumsum(length) - length)
-        self.ids = np.append(self.ids, np.fromiter((i for x in found for i in x), np.uint16))
+        self.ids = np.append(self.ids, np.fromiter(chain.from_iterable(found), np.uint16, int(length.sum())))
         self.length, self.uses = np.append(self.length, length), np.append(self.uses, np.zeros(len(length), np.int64))
         self.hash, self.head = np.append(self.hash, hashes), np.append(self.head, head)
 
@@ -143,14 +196,13 @@ class Encoder:
         if len(new):
             known[new] = np.arange(len(self.number), len(self.number) + len(new))
             at = sample[new]
-            pieces = [raw[s:e].decode("utf-8", "surrogatepass") for s, e in zip(starts[at].tolist(), ends[at].tolist())]
-            self._learn(pieces, hashes[new], head[at])
+            self._learn(self._encode_pieces(data, starts[at], ends[at]), hashes[new], head[at])
         self.uses[known] += 1
         known = known[code]
         ids, n = self._ids_of(known), self.length[known]
         sums = np.append(0, np.cumsum(n))[first]
         text_of = lambda places: np.searchsorted(off, places, "right") - 1
-        odd = np.union1d(text_of(starts[self.head[known] != head]), text_of([m.start() for m in self.special.finditer(raw)]))
+        odd = np.union1d(text_of(starts[self.head[known] != head]), text_of([m.start() for x in self.special for m in x.finditer(raw)]))
         if not len(odd):
             return ids, np.diff(sums)
         parts, at = [], 0
@@ -198,8 +250,8 @@ def grammar(ids: np.ndarray, last: np.ndarray, vocabulary: int, min_count: int =
         where.fill(-1)
         where[slot(key)] = np.arange(len(key), dtype=np.int32)
         rule = where[slot(pair)]
-        at = np.flatnonzero((rule >= 0) & ~last[:-1])
-        at = at[key[rule[at]] == pair[at]]
+        at = np.flatnonzero(rule >= 0)
+        at = at[(key[rule[at]] == pair[at]) & ~last[at]]
         # of overlapping pairs the first, third, ... are replaced
         run = np.maximum.accumulate(np.where(np.append(True, at[1:] != at[:-1] + 1), at, 0)) if len(at) else at
         at = at[(at - run) % 2 == 0]

@@ -4,7 +4,7 @@ The unit is a group of equal texts, a vector of its bytes, tokens and rows. Each
 shard where the dot product of its vector with the shard's residual capacity is highest, largest
 units first. Only what is bounded is packed one by one: groups above ``HEAVY`` of a shard's share in
 some dimension (at most 3 * shards / HEAVY of them; those above a whole shard are split by the hash
-of doc_id), and bundles that hold all other groups. A group's hash chooses its bundle; bundles come
+of doc_id and, among rows that repeat one, a number), and bundles that hold all other groups. A group's hash chooses its bundle; bundles come
 in ``LEVELS`` sizes, each half the one before, so that the last ones level what the first leave.
 Where a row goes is then a narrow step. Places within a shard come from counts per shard and hash
 range, so no task sees a whole shard.
@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .mix_threshold import word_count
-from .shared import stored
+from .shared import numbered, row_number_of, stored
 
 SHARDS = 24
 HEAVY, LEVELS, BUNDLES = 1 / 64, 10, 512
@@ -61,10 +61,6 @@ def level(vectors: np.ndarray, out: np.ndarray, left: np.ndarray, rounds: int =
     return out
 
 
-def _rows(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", *measures())
-
-
 def measures() -> list[Column]:
     """size (UTF-8 bytes of the text and 8), text_crc32, tokens (words), and the digest of the text."""
     raw = F.coalesce(F.col("text"), F.lit(""))
@@ -81,12 +77,13 @@ def bundle() -> Column:
 
 
 def piece(pieces: Column) -> Column:
-    return F.pmod(F.xxhash64("doc_id"), pieces).cast("int")
+    return F.pmod(F.xxhash64("doc_id", "nth"), pieces).cast("int")
 
 
 def plan_shards(rows: DataFrame, shards: int = SHARDS) -> tuple[DataFrame, DataFrame]:
-    """(heavy, bundles): heavy has digest, pieces, at (shard of each piece); bundles has bundle and
-    its shard. Both are bounded by the parameters, whatever the data."""
+    """(heavy, bundles) of ``rows`` (doc_id, size, tokens, digest, nth): heavy has digest, pieces, at
+    (shard of each piece); bundles has bundle and its shard. Both are bounded by the parameters,
+    whatever the data."""
     spark = rows.sparkSession
     dims = [F.sum("size").alias("b"), F.sum("tokens").alias("t"), F.count(F.lit(1)).alias("r")]
     groups = stored(rows.groupBy("digest").agg(*dims), "groups")
@@ -115,20 +112,20 @@ def plan_shards(rows: DataFrame, shards: int = SHARDS) -> tuple[DataFrame, DataF
 
 
 def with_shard(rows: DataFrame, heavy: DataFrame, bundles: DataFrame) -> DataFrame:
-    """Adds ``shard`` to rows with doc_id and digest; both plans are bounded, so broadcast."""
+    """Adds ``shard`` to rows with doc_id, digest and nth; both plans are bounded, so broadcast."""
     return (rows.join(F.broadcast(heavy), "digest", "left").withColumn("bundle", bundle()).join(F.broadcast(bundles), "bundle", "left")
             .withColumn("shard", F.when(F.col("pieces").isNotNull(), F.get("at", F.coalesce(piece(F.col("pieces")), F.lit(0)))).otherwise(F.col("b_shard")))
             .drop("pieces", "at", "bundle", "b_shard"))
 
 
 def with_slot(rows: DataFrame) -> DataFrame:
-    """Adds ``slot``, from 0 without gaps in each shard, to rows with doc_id, digest and shard."""
-    part = rows.withColumn("_range", F.pmod(F.xxhash64("doc_id", "digest"), F.lit(RANGES)).cast("int"))
+    """Adds ``slot``, from 0 without gaps in each shard, to rows with doc_id, digest, nth and shard."""
+    part = rows.withColumn("_range", F.pmod(F.xxhash64("doc_id", "digest", "nth"), F.lit(RANGES)).cast("int"))
     counts = stored(part.groupBy("shard", "_range").agg(F.count(F.lit(1)).alias("_n")), "ranges")
     before = Window.partitionBy("shard").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     # shards * RANGES rows at most
     offsets = counts.select("shard", "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
-    own = F.row_number().over(Window.partitionBy("shard", "_range").orderBy("doc_id", "digest"))
+    own = F.row_number().over(Window.partitionBy("shard", "_range").orderBy("doc_id", "digest", "nth"))
     return (part.withColumn("_own", own).join(F.broadcast(offsets), ["shard", "_range"])
             .withColumn("slot", (F.col("_base") + F.col("_own") - 1).cast("long")).drop("_range", "_own", "_base"))
 
@@ -139,19 +136,19 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, columns: bool = False
     them (those with these names are replaced).
 
     Shards have nearly equal bytes, tokens and rows. Equal texts share a shard unless they exceed
-    what a shard holds. Null texts weigh 8 bytes and are equal to empty ones. Repeated rows and rows
-    without doc_id have slots of their own. An empty table gives an empty result.
+    what a shard holds. Null texts weigh 8 bytes and are equal to empty ones. Rows that repeat a
+    doc_id and its text, or lack a doc_id, are numbered, so they are spread and placed like others;
+    which of them gets which place is open. An empty table gives an empty result.
     """
-    rows = stored(_rows(docs), "rows")
-    heavy, bundles = plan_shards(rows, shards)
     out = ["size", "text_crc32", "law", "shard", "slot", "grown_shard"]
-    if columns:
-        keep = [c for c in docs.columns if c not in (*out, "tokens", "digest", "bundle", "pieces", "at", "b_shard")]
-        rows = docs.select(*keep, *measures())
-    else:
-        keep = ["doc_id"]
+    keep = [c for c in docs.columns if c not in out] if columns else ["doc_id"]
+    # a copy of the rows: their numbers have to be the same in the plan and in the result
+    copy = stored(docs.select(F.struct(*keep).alias("row"), "doc_id", *measures(), row_number_of()), "rows")
+    rows = numbered(copy, ["doc_id", "digest"])
+    heavy, bundles = plan_shards(rows.drop("row"), shards)
     placed = with_slot(with_shard(rows, heavy, bundles))
-    return placed.withColumn("law", F.lit(LAW)).withColumn("grown_shard", F.lit(None).cast("int")).select(*keep, *out)
+    return (placed.withColumn("law", F.lit(LAW)).withColumn("grown_shard", F.lit(None).cast("int"))
+            .select(*[F.col("row").getField(c).alias(c) for c in keep], *out))
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = SHARDS) -> None:

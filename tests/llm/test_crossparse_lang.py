@@ -87,3 +87,22 @@ def test_a_language_of_one_short_row_wins_no_other_texts(spark, stray):
     before = {r.doc_id: r.lang_pred for r in op.predict(docs, samples).collect()}
     more = op.predict(docs, {**samples, "zz": stray.encode()}).collect()
     assert {r.doc_id: r.lang_pred for r in more} == before
+
+
+def test_a_header_that_all_documents_share_changes_little(spark):
+    """Places over whole texts are learned, so what all texts begin with teaches no language alone."""
+    from pyspark.sql import functions as F
+    header = " ".join(f"License {i} notice of the shared archive, all rights in this file reserved." for i in range(10))[:738]
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").withColumn("text", F.concat(F.lit(header), "text"))
+    lang = {r.doc_id: r.lang for r in docs.select("doc_id", "lang").collect()}
+    held = [r for r in op.identify(docs).collect() if r.held_out and lang[r.doc_id] is not None]
+    assert sum(r.lang_pred == lang[r.doc_id] for r in held) >= 0.95 * len(held)
+
+
+def test_the_sample_is_bounded(spark):
+    rows = [(i % 3, f"the cat {i} sat on the mat " * 40, "en") for i in range(600)]
+    rows += [(100 + i, f"word {i} of a language", f"l{i:03d}") for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    got = op.learn(df, sample_docs=8, sample_bytes=1000, languages=5)
+    assert len(got) == 5 and "en" in got and all(len(x) <= 1000 for x in got.values())
+    assert got == op.learn(df.repartition(2, "text"), sample_docs=8, sample_bytes=1000, languages=5)

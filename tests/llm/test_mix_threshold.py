@@ -92,3 +92,16 @@ def test_repeats_nulls_and_empty_tables(spark):
     assert op.mix(df.limit(0)).count() == 0 and op.mixed_documents(df.limit(0)).count() == 0
     none = df.filter("text is null")
     assert {r.target for r in op.mix(none).collect()} == {0.0}
+
+
+def test_targets_are_met_where_doc_ids_repeat(spark):
+    """A source of 1,000 rows with one doc_id, equal or different texts, is cut row by row."""
+    for text in ("same words in every row here", "row {} has its own five"):
+        rows = [(3, text.format(i), "a") for i in range(1000)] + [(i + 10, "w " * (1 + i % 40), "b") for i in range(400)]
+        df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+        got = op.mix(df).collect()
+        for size in {r.source_size for r in got}:
+            own = [r for r in got if r.source_size == size]
+            assert abs(sum(r.taken for r in own) - own[0].target) <= max(r.size for r in own)
+        assert sorted(map(str, got)) == sorted(map(str, op.mix(df.repartition(3, "source")).collect()))
+        assert op.mixed_documents(df).count() == sum(r.taken // r.size for r in got)

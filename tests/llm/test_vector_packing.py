@@ -65,3 +65,23 @@ def test_repeats_nulls_and_empty_tables(spark):
     assert len(got) == 5
     check(got, 24, 100)
     assert op.shard_documents(df.limit(0)).count() == 0
+
+
+def test_bytes_are_balanced_where_doc_ids_repeat(spark):
+    """2,000 different texts and 1,000 rows of one text, which have no doc_id or all the same one."""
+    rnd = random.Random(6)
+    for same in (None, 17):
+        rows = [(i, " ".join("x" * rnd.randint(1, 9) for _ in range(rnd.randint(20, 60)))) for i in range(2000)]
+        rows += [(same, "one text that a third of the rows repeat, word by word, again and again " * 2)] * 1000
+        got = op.shard_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(6)).collect()
+        assert len(got) == 3000
+        check(got, 24, 0.02)
+
+
+def test_a_third_of_all_rows_have_one_doc_id(spark):
+    rows = [(5, f"text {i} " * (1 + i % 7)) for i in range(1000)] + [(i, f"other {i} " * 9) for i in range(2000)]
+    got = op.shard_documents(spark.createDataFrame([(*r, "x", 1, 2) for r in rows], "doc_id long, text string, row string, rid int, nth int"), columns=True)
+    assert got.columns == ["doc_id", "text", "row", "rid", "nth", "size", "text_crc32", "law", "shard", "slot", "grown_shard"]
+    got = got.collect()
+    assert sorted((r.doc_id, r.text) for r in got) == sorted(rows)
+    check(got, 24, 0.03)
