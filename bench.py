@@ -22,8 +22,6 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from pyspark.sql import functions as F  # noqa: E402
-
 from pricewell.operators import measures as M  # noqa: E402
 from pricewell.plans import views as V  # noqa: E402
 from pricewell.plans.job import run_load  # noqa: E402
@@ -66,12 +64,12 @@ def main() -> None:
         "sector_monthly": lambda: V.sector_monthly(wh),
         "sector_year_return": lambda: V.sector_year_return(wh),
         "golden_cross": lambda: V.golden_cross(wh),
-        "trace_files": lambda: V.trace_files(wh, date_key=wh.dim_date.agg(F.max("date_key")).scalar()),
+        "trace_files": lambda: V.trace_files(wh),
         "most_volatile": lambda: V.most_volatile(wh),
         "reject_drilldown": lambda: V.reject_drilldown(wh),
         "drilldown_rollup": lambda: V.drilldown_rollup(wh),
         "sector_index": lambda: M.sector_index(star),
-        "price_vs_ma50": lambda: M.price_vs_ma50(star, ["ticker"]),
+        "price_vs_ma50": lambda: V.latest_measure(wh, M.price_vs_ma50),
         "latest_run": lambda: M.latest_run_card(wh.etl_load_run, wh.etl_rejected_row),
     }
     for name, q in bi.items():

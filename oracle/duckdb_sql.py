@@ -344,6 +344,9 @@ ORACLE_SQL: dict[str, str] = {
         FROM fact_B f JOIN ledger_B l ON l.load_run_id = f.load_run_id
         JOIN dim_instrument_B i ON i.instrument_key = f.instrument_key"""),
     "trace_files": two("""
+        SELECT DISTINCT f.load_run_id, l.finished_at, x.source_file
+        FROM fact_B f JOIN ledger_B l ON l.load_run_id = f.load_run_id JOIN files_B x ON x.load_run_id = f.load_run_id"""),
+    "trace_files_newest_day": two("""
         SELECT DISTINCT f.load_run_id, l.finished_at, x.source_file
         FROM fact_B f JOIN ledger_B l ON l.load_run_id = f.load_run_id JOIN files_B x ON x.load_run_id = f.load_run_id
         WHERE f.date_key = (SELECT max(date_key) FROM dim_date_B)"""),

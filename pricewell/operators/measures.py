@@ -21,24 +21,27 @@ def basic_measures(star: DataFrame, keys: list[str]) -> DataFrame:
                  F.sum(F.col("close_price") * F.col("volume")).alias("traded_value")))
 
 
-def latest_values(star: DataFrame, keys: list[str], **values: str) -> DataFrame:
+def latest_values(rows: DataFrame, keys: list[str], one_a_day: bool = False, **values: str) -> DataFrame:
     """Per context its last ``date_key`` as last_date_key, and on that day the largest of each
-    column named in ``values`` (alias -> column). The day is a hash aggregate on one integer; its
-    small result is joined back."""
-    last = star.groupBy(*keys).agg(F.max("date_key").alias("date_key"))
-    rows = star.select(*keys, "date_key", *dict.fromkeys(values.values())).join(last, [*keys, "date_key"])
-    return (rows.groupBy(*keys, "date_key").agg(*[F.max(column).alias(alias) for alias, column in values.items()])
-            .withColumnRenamed("date_key", "last_date_key"))
-
-
-def latest_close(star: DataFrame, keys: list[str]) -> DataFrame:
+    column named in ``values`` (alias -> column). The rows are read once: the largest a day, then
+    those of the last day, both hash aggregates of numbers. ``one_a_day``: a context has at most one
+    row a day, so the first is left out."""
+    if one_a_day:
+        per_day = rows.select(*keys, "date_key", *[F.col(c).alias(alias) for alias, c in values.items()])
+    else:
+        per_day = rows.groupBy(*keys, "date_key").agg(*[F.max(c).alias(alias) for alias, c in values.items()])
+    return per_day.groupBy(*keys).agg(F.max("date_key").alias("last_date_key"),
+                                      *[F.max_by(alias, "date_key").alias(alias) for alias in values])
+
+
+def latest_close(rows: DataFrame, keys: list[str], **how) -> DataFrame:
     """Latest Close per context."""
-    return latest_values(star, keys, latest_close="close_price")
+    return latest_values(rows, keys, latest_close="close_price", **how)
 
 
-def price_vs_ma50(star: DataFrame, keys: list[str]) -> DataFrame:
+def price_vs_ma50(rows: DataFrame, keys: list[str], **how) -> DataFrame:
     """Price vs MA50 %: latest close / latest 50-day average - 1 (NULL when the average is)."""
-    last = latest_values(star, keys, _close="close_price", _average="ma_50")
+    last = latest_values(rows, keys, _close="close_price", _average="ma_50", **how)
     return last.select(*keys, "last_date_key", (F.try_divide("_close", "_average") - 1).alias("price_vs_ma50"))
 
 
@@ -86,12 +89,3 @@ def sector_stats(star: DataFrame) -> DataFrame:
             .agg((F.avg("daily_return") * TRADING_DAYS).alias("annualised_return"),
                  F.avg("volatility_20d").alias("avg_volatility"))
             .orderBy("annualised_return"))
-
-
-def instrument_drilldown(star: DataFrame, ticker: str | None = None, days: int = 365) -> DataFrame:
-    """Close and moving averages over each instrument's trailing ``days`` (or one ticker's): the
-    last day of each is a grouped maximum, joined back."""
-    rows = star if ticker is None else star.filter(F.col("ticker") == ticker)
-    last = rows.groupBy("ticker").agg(F.max("full_date").alias("_last"))
-    return (rows.select("ticker", "sector_name", "full_date", "close_price", "ma_20", "ma_50").join(last, "ticker")
-            .filter(F.col("full_date") >= F.date_sub(F.col("_last"), days)).drop("_last"))

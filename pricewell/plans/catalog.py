@@ -225,6 +225,11 @@ def q_trace_run(spark, d):
 
 
 def q_trace_files(spark, d):
+    """The runs and files behind all prices."""
+    return V.trace_files(two_runs(spark, d).read())
+
+
+def q_trace_files_newest_day(spark, d):
     """The runs and files behind every price of the newest day."""
     wh = two_runs(spark, d).read()
     return V.trace_files(wh, date_key=wh.dim_date.agg(F.max("date_key")).scalar())
@@ -289,11 +294,11 @@ def q_measures_by_sector(spark, d):
 
 
 def q_latest_close(spark, d):
-    return M.latest_close(V.star(_wh(spark, d)), ["ticker"])
+    return V.latest_measure(_wh(spark, d), M.latest_close)
 
 
 def q_price_vs_ma50(spark, d):
-    return rounded(M.price_vs_ma50(V.star(_wh(spark, d)), ["ticker"]))
+    return rounded(V.latest_measure(_wh(spark, d), M.price_vs_ma50))
 
 
 def q_sector_index(spark, d):
@@ -305,7 +310,7 @@ def q_sector_stats(spark, d):
 
 
 def q_instrument_drilldown(spark, d):
-    return rounded(M.instrument_drilldown(V.star(_wh(spark, d))))
+    return rounded(V.instrument_drilldown(_wh(spark, d)))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -353,6 +358,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "most_volatile": q_most_volatile,
     "trace_run": q_trace_run,
     "trace_files": q_trace_files,
+    "trace_files_newest_day": q_trace_files_newest_day,
     "stored_rejects": q_stored_rejects,
     "reject_drilldown": q_reject_drilldown,
     "drilldown_rollup": q_drilldown_rollup,

@@ -20,3 +20,4 @@ class Warehouse:
     etl_load_run: DataFrame       # every run: RUNNING, SUCCEEDED and FAILED
     etl_run_file: DataFrame       # the files of each run, one row each
     etl_rejected_row: DataFrame
+    fact_run: DataFrame           # fact_year, fact_bucket, load_run_id: the runs whose rows a live part holds

@@ -9,7 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import date_key as key_of
 from ..functions import guarded_ratio
+from ..operators import measures as M
 from ..operators.metrics import TRADING_DAYS
 from .load import Warehouse
 
@@ -48,6 +50,45 @@ def instrument_latest(wh: Warehouse) -> DataFrame:
                                  "ma_20", "ma_50", "volatility_20d")
 
 
+# Levels whose key the fact holds: the table with the name, and the key.
+LEVELS = {"ticker": ("dim_instrument", "instrument_key"), "sector_name": ("dim_sector", "sector_key")}
+
+
+def latest_measure(wh: Warehouse, measure, level: str = "ticker") -> DataFrame:
+    """``measures.latest_close`` or ``price_vs_ma50`` per ticker or sector, aggregated by key below
+    the join: the fact is read once and its few results are given names."""
+    table, key = LEVELS[level]
+    # (instrument_key, date_key) is the fact's key, checked before each commit
+    found = measure(wh.fact_daily_price, [key], one_a_day=key == "instrument_key")
+    names = getattr(wh, table).select(key, level)
+    return found.join(names, key).select(level, *[c for c in found.columns if c != key])
+
+
+def instrument_drilldown(wh: Warehouse, ticker: str | None = None, days: int = 365) -> DataFrame:
+    """Close and moving averages over each instrument's trailing ``days`` (or one ticker's).
+
+    The last day of each instrument needs the keys only; the earliest of the days wanted then prunes
+    year folders and row groups of the second read, and each instrument's own bound filters its rows.
+    """
+    inst, sec, _ = _dims(wh)
+    fact = wh.fact_daily_price
+    if ticker is not None:
+        inst = inst.filter(F.col("ticker") == ticker)
+        fact = fact.join(inst.select("instrument_key"), "instrument_key", "left_semi")
+    last = fact.groupBy("instrument_key").agg(F.max("date_key").alias("_last"))
+
+    def day(key: str) -> Column:
+        k = F.col(key)
+        return F.make_date((k / 10000).cast("int"), (k / 100).cast("int") % 100, k % 100)
+
+    bounds = last.select("instrument_key", key_of(F.date_sub(day("_last"), days)).alias("_since"))
+    least = bounds.agg(F.min("_since")).scalar()
+    rows = fact.filter((F.col("fact_year") >= (least / 10000).cast("int")) & (F.col("date_key") >= least))
+    return (rows.join(bounds, "instrument_key").filter(F.col("date_key") >= F.col("_since"))
+            .join(inst.select("instrument_key", "ticker"), "instrument_key").join(sec, "sector_key")
+            .select("ticker", "sector_name", day("date_key").alias("full_date"), "close_price", "ma_20", "ma_50"))
+
+
 def sector_monthly(wh: Warehouse) -> DataFrame:
     """vw_sector_monthly."""
     return (star(wh).groupBy("sector_name", "year", "quarter", "month")
@@ -126,8 +167,13 @@ def trace_run(wh: Warehouse, ticker: str | None = None, date_key: int | Column |
 
 
 def trace_files(wh: Warehouse, ticker: str | None = None, date_key: int | Column | None = None) -> DataFrame:
-    """The runs behind the fact rows asked for, one row per run and file it read."""
-    runs = trace_run(wh, ticker, date_key).select("load_run_id", "finished_at").distinct()
+    """The runs behind the fact rows asked for, one row per run and file it read. For all rows the
+    commit's own list of runs in each part answers, and the fact is not read."""
+    if ticker is None and date_key is None:
+        ledger = wh.etl_load_run.select("load_run_id", "finished_at")
+        runs = wh.fact_run.select("load_run_id").distinct().join(ledger, "load_run_id")
+    else:
+        runs = trace_run(wh, ticker, date_key).select("load_run_id", "finished_at").distinct()
     return runs.join(wh.etl_run_file, "load_run_id").select("load_run_id", "finished_at", "source_file")
 
 

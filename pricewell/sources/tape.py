@@ -38,8 +38,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def tape_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw feed: the 7 text columns plus ``source_file`` and ``raw_record``."""
     supplier = _table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
+    # one row group of the table is one task's, however many rows it has: the numbers it needs are
+    # dealt over all tasks before text is made of them
     li = (_table(spark, sf_dir, "lineitem")
           .select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate")
+          .repartition("l_orderkey", "l_linenumber")
           .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
           .select(
               "s_name", "l_linenumber",

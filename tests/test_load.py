@@ -165,3 +165,98 @@ def test_csv_feed_end_to_end(spark, tmp_path):
     wh = WarehouseStore(spark, str(tmp_path / "one")).read()
     assert one["rows_loaded"] == wh.fact_daily_price.count() > 0 and wh.dim_instrument.count() == 1
     assert wh.etl_run_file.count() == len(list((tmp_path / "feed").glob("prices_*.csv")))
+
+
+def plan_of(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_part_of_any_size_is_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    names = [f"T{i:02d}" for i in range(30)]
+    ref = reference(spark, *[(t, t, "S", "N", None) for t in names])
+    raw = feed(spark, [r for t in names for r in days(t, "2030-01-01", 200)])
+    # several tasks read the batch, and each hands on more than the advisory size
+    conf = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.files.openCostInBytes": "1m", "spark.sql.files.maxPartitionBytes": "1m"}
+    before = {k: spark.conf.get(k) for k in conf}
+    monkeypatch.setattr(job, "WarehouseStore", lambda *a, **k: WarehouseStore(*a, **k, buckets=2))
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        job.run_load(spark, raw, ref, str(tmp_path))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    monkeypatch.undo()
+    store = WarehouseStore(spark, str(tmp_path))
+    files = {}
+    for p in (tmp_path / "fact_daily_price").rglob("*.parquet"):
+        files.setdefault(p.parent, []).append(p)
+    assert set(store.fact_map()) == {(2030, 0), (2030, 1)} and all(len(f) > 1 for f in files.values())
+    # the warehouse keeps its number of buckets, whatever later runs would begin with
+    job.run_load(spark, feed(spark, days("T07", "2030-03-01", 5, 50.0)), ref, str(tmp_path))
+    store = WarehouseStore(spark, str(tmp_path))
+    assert store.state().buckets == 2 and set(store.fact_map()) == {(2030, 0), (2030, 1)}
+    fact = store.read().fact_daily_price
+    assert fact.count() == 30 * 200 and fact.select("instrument_key", "date_key").distinct().count() == 30 * 200
+    assert sorted(store.state().runs.values()) == [(1,), (1, 2)]
+
+
+def test_all_days_are_traced_without_the_fact(spark):
+    wh = two_runs(spark, SF_SMALL).read()
+    df = views.trace_files(wh)
+    text = plan_of(df)
+    assert "fact_daily_price" not in text
+    slow = wh.fact_daily_price.select("load_run_id").distinct().join(wh.etl_run_file, "load_run_id")
+    assert {(r.load_run_id, r.source_file) for r in df.collect()} == {(r.load_run_id, r.source_file) for r in slow.collect()}
+
+
+def test_latest_values_read_the_fact_once(spark):
+    wh = full_load(spark, SF_SMALL).read()
+    for level in ("ticker", "sector_name"):
+        for measure in (measures.latest_close, measures.price_vs_ma50):
+            df = views.latest_measure(wh, measure, level)
+            text = plan_of(df).split("== Initial Plan ==")[0]
+            assert sum("FileScan" in x and "date_key" in x for x in text.splitlines()) == 1
+            assert "SortAggregate" not in text
+            assert sorted(map(str, df.collect())) == sorted(map(str, measure(views.star(wh), [level]).select(*df.columns).collect()))
+
+
+def test_the_drilldown_prunes_years(spark):
+    wh = full_load(spark, SF_SMALL).read()
+    df = views.instrument_drilldown(wh)
+    text = plan_of(df)
+    scan = next(line for line in text.splitlines() if "FileScan" in line and "ma_20" in line)
+    assert "fact_year" in scan.split("PartitionFilters")[1].split("PushedFilters")[0]
+    star = views.star(wh)
+    last = star.groupBy("ticker").agg(F.max("full_date").alias("_last"))
+    want = star.join(last, "ticker").filter("full_date >= date_sub(_last, 365)").select(*df.columns)
+    assert sorted(map(str, df.collect())) == sorted(map(str, want.collect()))
+    one = df.head().ticker
+    assert sorted(map(str, views.instrument_drilldown(wh, one).collect())) == sorted(str(r) for r in df.collect() if r.ticker == one)
+
+
+def test_many_runs_are_compacted_and_a_dead_one_is_closed(spark, tmp_path):
+    job.run_load(spark, feed(spark, days("WREN", "2031-01-01", 5)), reference(spark, BIRDS[0]), str(tmp_path))
+    job.run_load(spark, feed(spark, days("CRANE", "2031-01-03", 5)), reference(spark, *BIRDS), str(tmp_path))
+    store = WarehouseStore(spark, str(tmp_path))
+    for run in range(3, 51):
+        store.append_event(run, "FAILED", dt.datetime(2031, 1, 1), error_message="no feed")
+    store.append_event(51, "RUNNING", dt.datetime(2031, 1, 2))   # killed: it wrote this and no end
+    store.write_run_table("dim_sector", 51, spark.createDataFrame([(9, "Lost")], "sector_key int, sector_name string"))
+    store.stage(51, "staged", spark.range(3))
+    before = {name: sorted(map(str, getattr(store.read(), name).collect())) for name in ("dim_sector", "dim_instrument", "dim_date", "fact_daily_price")}
+    store.compact()
+    assert len(list((tmp_path / "etl_load_run").glob("event=*"))) == 1
+    store.vacuum()
+    for name in ("dim_sector", "dim_instrument", "dim_date"):
+        assert [p.name for p in (tmp_path / name).iterdir() if p.name != "run=51"] == ["run=base-2"]
+    assert {name: sorted(map(str, getattr(WarehouseStore(spark, str(tmp_path)).read(), name).collect())) for name in before} == before
+    got = job.run_load(spark, feed(spark, days("CROW", "2031-01-04", 2)), reference(spark, *BIRDS), str(tmp_path))
+    assert got["load_run_id"] == 52 and not list((tmp_path / "_staging").glob("*"))
+    store = WarehouseStore(spark, str(tmp_path))
+    quality = {r.load_run_id: r.status for r in views.data_quality(store.read()).collect()}
+    assert quality == {1: "SUCCEEDED", 2: "SUCCEEDED", **dict.fromkeys(range(3, 52), "FAILED"), 52: "SUCCEEDED"}
+    assert store.read().dim_instrument.count() == 3 and store.read().fact_daily_price.count() == 12
+    assert str(tmp_path / "dim_sector" / "run=51") in store.vacuum() and not (tmp_path / "dim_sector" / "run=51").exists()

@@ -71,8 +71,8 @@ def main() -> None:
         "reject_drilldown": V.reject_drilldown(wh), "sector_index": M.sector_index(star),
         "integrity_checks": integrity_checks(wh.fact_daily_price, wh.dim_date, wh.dim_instrument, wh.dim_sector,
                                              wh.etl_load_run, wh.etl_rejected_row),
-        "instrument_drilldown": M.instrument_drilldown(star),
-        "price_vs_ma50": M.price_vs_ma50(star, ["ticker"]),
+        "instrument_drilldown": V.instrument_drilldown(wh),
+        "price_vs_ma50": V.latest_measure(wh, M.price_vs_ma50),
     }.items():
         summary(name, df, full)
 
