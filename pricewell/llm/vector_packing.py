@@ -144,10 +144,14 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, columns: bool = False
     keep = [c for c in docs.columns if c not in out] if columns else ["doc_id"]
     # a copy of the rows: their numbers have to be the same in the plan and in the result
     copy = stored(docs.select(F.struct(*keep).alias("row"), "doc_id", *measures(), row_number_of()), "rows")
-    rows = numbered(copy, ["doc_id", "digest"])
-    heavy, bundles = plan_shards(rows.drop("row"), shards)
-    placed = with_slot(with_shard(rows, heavy, bundles))
-    return (placed.withColumn("law", F.lit(LAW)).withColumn("grown_shard", F.lit(None).cast("int"))
+    rows = numbered(copy.drop("row"), ["doc_id", "digest"])
+    heavy, bundles = plan_shards(rows, shards)
+    placed = (with_slot(with_shard(rows, heavy, bundles))
+              .withColumn("law", F.lit(LAW)).withColumn("grown_shard", F.lit(None).cast("int")))
+    if not columns:
+        return placed.select(*keep, *out)
+    # texts take part in one exchange, by row number
+    return (copy.select("row", "rid").join(placed.select("rid", *out), "rid")
             .select(*[F.col("row").getField(c).alias(c) for c in keep], *out))
 
 
