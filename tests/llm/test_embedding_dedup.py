@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 import pytest
 
@@ -55,10 +57,56 @@ def test_links_and_components_equal_brute_force(spark, cell):
 
 
 def test_plan_follows_rows_and_threshold():
-    bits, tables = op.plan(5000)
-    agree = (1 - np.arccos(0.93) / np.pi) ** bits
-    assert (1 - agree) ** tables <= 1e-4 and bits == 13
-    assert op.plan(10**9)[0] == 30
+    differ = np.arccos(0.93) / np.pi
+    for rows, want in ((10, 4), (5681, 7), (50_000 * 64, 16), (10**9, 24)):
+        bits, tables, cut = op.plan(rows)
+        far = sum(math.comb(op.SKETCH, k) * differ ** k * (1 - differ) ** (op.SKETCH - k) for k in range(cut + 1, op.SKETCH + 1))
+        assert bits == want and (1 - (1 - differ) ** bits) ** tables + far <= 1e-4
+
+
+def planted(rng, pairs, noise, dim=32):
+    """Unrelated vectors and ``pairs`` planted ones at cosine 0.93 and a little above."""
+    base = rng.standard_normal((pairs, dim))
+    base /= np.sqrt((base * base).sum(axis=1, keepdims=True))
+    side = rng.standard_normal((pairs, dim))
+    side -= (side * base).sum(axis=1, keepdims=True) * base
+    side /= np.sqrt((side * side).sum(axis=1, keepdims=True))
+    cos = rng.uniform(0.9302, 0.95, (pairs, 1))
+    return np.vstack([base, cos * base + np.sqrt(1 - cos * cos) * side, rng.standard_normal((noise, dim))]).astype(np.float32)
+
+
+@pytest.mark.parametrize("bucket", [64, 1])
+def test_recall_of_pairs_at_the_threshold(spark, monkeypatch, bucket):
+    """4,000 vectors in pairs just above 0.93 among others; with bucket 1 the tables have 13 bits."""
+    monkeypatch.setattr(op, "BUCKET", bucket)
+    v = planted(np.random.default_rng(8), 2000, 2000)
+    unit = v.astype(float)
+    unit /= np.sqrt((unit * unit).sum(axis=1, keepdims=True))
+    want = (unit @ unit.T >= 0.93).sum(axis=1) - 1
+    df = spark.createDataFrame([(i, x.tolist(), 1) for i, x in enumerate(v)], "vec_id long, embedding array<float>, label int")
+    got = {r.vec_id: r.n_links for r in op.near_dedup(df).collect()}
+    assert want.sum() >= 4000 and op.plan(len(v))[0] == {64: 7, 1: 13}[bucket]
+    lost = sum(int(want[i]) - got[i] for i in range(len(v)))
+    assert all(got[i] <= want[i] for i in range(len(v))) and lost <= 0.001 * want.sum()
+
+
+@pytest.mark.parametrize("kind", ["double", "int"])
+def test_other_component_types(spark, kind):
+    rows = [(1, [1, 0, 3], 1), (2, [10, 1, 30], 1), (3, [0, 5, 0], 1), (4, [1, None, 3], 1)]
+    cast = [(i, [x if x is None or kind == "int" else float(x) for x in e], k) for i, e, k in rows]
+    df = spark.createDataFrame(cast, f"vec_id long, embedding array<{kind}>, label int")
+    got = sorted((r.vec_id, r.n_links, r.component_id) for r in op.near_dedup(df).collect())
+    assert got == [(1, 1, 1), (2, 1, 1), (3, 0, 3), (4, 0, 4)]
+
+
+def test_many_close_vectors_in_one_label(spark):
+    """A third of all rows are near copies of one vector: their bucket is dealt to cells."""
+    rng = np.random.default_rng(9)
+    c = rng.standard_normal(24)
+    rows = [(int(i), (c + 0.08 * rng.standard_normal(24) if i % 3 == 0 else rng.standard_normal(24)).tolist(), 1) for i in range(600)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    got = sorted((r.vec_id, r.n_links, r.component_id) for r in op.near_dedup(df, miss=1e-9, cell=20).collect())
+    assert got == brute(rows)
 
 
 def test_repeats_nulls_and_empty_tables(spark):
@@ -67,3 +115,9 @@ def test_repeats_nulls_and_empty_tables(spark):
     got = sorted((str(r.vec_id), r.n_links, str(r.component_id)) for r in op.near_dedup(df).collect())
     assert got == [("4", 2, "4"), ("4", 2, "4"), ("5", 0, "5"), ("None", 0, "None"), ("None", 2, "4")]
     assert op.near_dedup(df.limit(0)).count() == 0
+
+
+def test_zeros_of_both_signs_are_equal(spark):
+    df = spark.createDataFrame([(7, [0.0, 2.0], 1), (8, [-0.0, 2.0], 1), (9, [2.0, -0.0], 1)], "vec_id long, embedding array<float>, label int")
+    got = sorted((r.vec_id, r.n_links, r.component_id) for r in op.near_dedup(df).collect())
+    assert got == [(7, 1, 7), (8, 1, 7), (9, 0, 9)]
