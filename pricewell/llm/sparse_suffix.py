@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .minimisers import CELL, MER, WINDOW, found_batch, merge_windows, repeated_windows
-from .shared import whole_groups
+from .shared import stored, whole_groups
 from .words import text_bytes, word_spans
 
 
@@ -90,8 +90,8 @@ def compared_suffixes(window: int):
 def repeated_passages(docs: DataFrame, window: int = WINDOW, mer: int = MER, cell: int = CELL) -> DataFrame:
     """The passages of at least ``window`` words of ``docs`` (doc_id, text) that a document with a
     smaller doc_id has too: doc_id, first_word, end_word (words first_word to end_word - 1),
-    n_words, kept_in (the smallest doc_id that holds a window of the passage; where the whole text
-    is a copy, the smallest doc_id with the same words).
+    n_words, kept_in (the smallest doc_id that holds a window of the passage). A text that is a whole
+    copy is one passage.
 
     Passages of a document that touch or overlap are one row. Documents without such a passage have
     no row, nor have null or empty texts, texts below ``window`` words, rows without doc_id, and the
@@ -109,10 +109,17 @@ def repeated_passages(docs: DataFrame, window: int = WINDOW, mer: int = MER, cel
                 F.greatest(F.get(done, F.size(done) - 1)["b"], x["b"]).alias("b"),
                 F.least(F.get(done, F.size(done) - 1)["src"], x["src"]).alias("src")))),
         ).otherwise(F.concat(done, F.array(x))))
-    passages = (found.spans.select("doc_id", F.inline(one))
+    spans = stored(found.spans, "spans")
+    passages = (spans.select("doc_id", F.inline(one))
                 .select("doc_id", F.col("a").cast("long").alias("first_word"),
                         (F.col("b") + (window - 1)).cast("long").alias("end_word"), F.col("src").alias("kept_in")))
-    copies = (found.scan.filter(F.col("n_words") >= window).join(found.first, "sha").filter("doc_id > rep")
-              .select("doc_id", F.lit(0).cast("long").alias("first_word"), F.col("n_words").alias("end_word"), F.col("rep").alias("kept_in")))
+    # a copy has the windows of its first document, so also what that document's windows are kept in;
+    # written, so that the join with the copies can split a text that very many rows repeat
+    lower = (spans.select("doc_id", "tk", F.array_min(F.transform("spans", lambda x: x["src"])).alias("src"))
+             .join(found.scan.select("doc_id", "tk", "sha").distinct(), ["doc_id", "tk"])
+             .groupBy("sha", F.col("doc_id").alias("rep")).agg(F.min("src").alias("src")))
+    source = stored(found.first.join(lower, ["sha", "rep"], "left").select("sha", "rep", F.least("rep", "src").alias("src")), "source")
+    copies = (found.scan.filter(F.col("n_words") >= window).join(source, "sha").filter("doc_id > rep")
+              .select("doc_id", F.lit(0).cast("long").alias("first_word"), F.col("n_words").alias("end_word"), F.col("src").alias("kept_in")))
     return (passages.unionByName(copies)
             .select("doc_id", "first_word", "end_word", (F.col("end_word") - F.col("first_word")).alias("n_words"), "kept_in").distinct())
