@@ -6,8 +6,9 @@ of words not yet marked, these are marked, and shorter ones follow down to ``MAT
 share of the item's words that the tiles cover decides, so passages that were cut and reordered
 count in full. Words are runs of letters, digits and bytes above 127, lower-cased.
 
-The benchmark goes to the tasks in blocks of at most ``BLOCK_BYTES`` of text; a larger benchmark
-takes more passes over the documents, each without a shuffle.
+Texts and items meet by joins of seed hashes. Of an item only as many of its rarest seeds are
+joined as a text that holds it can't all lack; a filter of bounded size, made of all seeds, keeps
+the other words of the documents out of the shuffle. Each pair found is tiled, whatever their number.
 """
 from __future__ import annotations
 
@@ -15,14 +16,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .crossparse_lang import fold
-from .words import rolling, slices, text_bytes, word_hashes
+from .shared import row_number_of, stored
+from .words import mix, rolling, slices, text_bytes, word_hashes
 
 MATCH, COVERAGE = 5, 0.8
-BLOCK_BYTES = 8 << 20
+# Items of one text are tiled in groups of about this many bytes (an item counts 1,024 more).
+GROUP_BYTES = 256 << 10
+# The largest filter, 16 MB; a smaller one has 16 bits or more for each value.
+FILTER_BITS = 1 << 27
+# Two hashes of a text tell texts apart.
+KEY = ["_tk", "_tk2"]
 
 _WORD = np.zeros(256, bool)
 _WORD[128:] = True
@@ -74,7 +81,7 @@ def tiles(item: list, text: list, least: int) -> list[tuple[int, int, int]]:
 
 
 class Seeds:
-    """The seeds of a block of items: for each seed size, hash -> (item, place) and item -> seeds."""
+    """The seeds of a group of items: for each seed size, hash -> (item, place) and item -> seeds."""
 
     def __init__(self, items: list[tuple[int, str]], match: int, coverage: float):
         self.match, self.coverage, self.ids = match, coverage, [i for i, _ in items]
@@ -93,13 +100,11 @@ class Seeds:
             order = np.argsort(mers[at], kind="stable")
             at = at[order]
             keys, begin = np.unique(mers[at], return_index=True)
-            near = np.zeros(1 << 20, bool)
-            near[(keys >> np.uint64(44)).astype(np.int64)] = True
             begin = np.append(begin, len(at))
             by_item = np.argsort(item[at], kind="stable")
             seed = np.repeat(np.arange(len(keys)), np.diff(begin))[by_item]
             own = np.searchsorted(item[at][by_item], np.arange(len(items) + 1))
-            self.tables[k] = (keys, begin, item[at], at - first[item[at]], near, [seed[a:b] for a, b in zip(own[:-1], own[1:])])
+            self.tables[k] = (keys, begin, item[at], at - first[item[at]], [seed[a:b] for a, b in zip(own[:-1], own[1:])])
 
     def matches(self, part: pa.RecordBatch) -> Iterator[tuple[int, int, int, int, float]]:
         """(row, item, words covered, tiles, coverage) of each text that holds an item."""
@@ -107,11 +112,11 @@ class Seeds:
         if not len(starts):
             return
         h, text = word_hashes(low, starts, ends), np.repeat(np.arange(len(first) - 1), np.diff(first))
-        for k, (keys, begin, item, place, near, seeds_of) in self.tables.items():
+        for k, (keys, begin, item, place, seeds_of) in self.tables.items():
             mers = rolling(h, k)
-            at = np.flatnonzero(near[(mers >> np.uint64(44)).astype(np.int64)])
-            seed = np.minimum(np.searchsorted(keys, mers[at]), len(keys) - 1)
-            ok = (keys[seed] == mers[at]) & (at + k <= first[text[at] + 1])
+            at = np.arange(len(mers))
+            seed = np.minimum(np.searchsorted(keys, mers), len(keys) - 1)
+            ok = (keys[seed] == mers) & (at + k <= first[text[at] + 1])
             at, seed = at[ok], seed[ok]
             if not len(at):
                 continue
@@ -149,65 +154,158 @@ class Seeds:
                     yield r, i, covered, len(found), covered / len(self.words[i])
 
 
-def blocks(spark: SparkSession, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[list[tuple[int, str]]]:
-    """The items in blocks of about ``block_bytes`` of text, fetched one after the other; null texts
-    and rows without item_id are left out, repeated rows count once."""
-    rows = benchmark.filter("item_id is not null and text is not null").select("item_id", "text").distinct()
-    total = rows.agg(F.sum(F.octet_length("text"))).head()[0] or 0
-    n = -(-total // block_bytes)
-    for k in range(n):
-        own = rows.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).collect()
-        if own:
-            yield sorted((r.item_id, r.text) for r in own)
+def _item_seeds(match: int):
+    """Each item's distinct seeds: the item's words, the seed's size, its hash and its places."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                low, starts, ends, first = plain_words(*text_bytes(part.column("text")))
+                size = np.diff(first)
+                h = word_hashes(low, starts, ends) if len(low) else np.zeros(0, np.uint64)
+                text = np.repeat(np.arange(len(size)), size)
+                rows, keys, many = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+                for k in np.unique(np.minimum(size[size > 0], match)).tolist():
+                    mers = seed_keys(h, k)
+                    at = np.arange(len(mers))
+                    at = at[(at + k <= first[text[at] + 1]) & (np.minimum(size[text[at]], match) == k)]
+                    order = at[np.lexsort((mers[at], text[at]))]
+                    new = np.flatnonzero(np.append(True, (mers[order][1:] != mers[order][:-1]) | (text[order][1:] != text[order][:-1])))
+                    rows.append(text[order][new]), keys.append(mers[order][new]), many.append(np.diff(np.append(new, len(order))))
+                row = np.concatenate(rows)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("rid").take(pa.array(row)), pa.array(size[row].astype(np.int64)), pa.array(np.minimum(size[row], match).astype(np.int32)),
+                     pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(many).astype(np.int64))],
+                    ["rid", "n", "k", "h", "many"])
+    return run
+
+
+def seed_keys(h: np.ndarray, k: int) -> np.ndarray:
+    """Hashes of all runs of ``k`` words, different for each ``k``."""
+    return mix(rolling(h, k) + np.uint64(k)) if len(h) >= k else np.zeros(0, np.uint64)
 
 
-def _leaks(items: list, match: int, coverage: float):
+def _text_seeds(sizes: list[int], bits: np.ndarray):
+    """Each text's distinct seeds that pass the filter."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seeds = Seeds(items, match, coverage)
         for batch in batches:
             for part in slices(batch, "text"):
+                low, starts, ends, first = plain_words(*text_bytes(part.column("text")))
+                h = word_hashes(low, starts, ends) if len(starts) else np.zeros(0, np.uint64)
+                text = np.repeat(np.arange(len(first) - 1), np.diff(first))
+                rows, keys = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+                for k in sizes:
+                    mers = seed_keys(h, k)
+                    at = np.flatnonzero(passes(bits, mers.view(np.int64)))
+                    at = at[at + k <= first[text[at] + 1]]
+                    rows.append(text[at]), keys.append(mers[at])
+                row, key = np.concatenate(rows), np.concatenate(keys)
+                order = np.lexsort((key, row))
+                row, key = row[order], key[order]
+                one = np.append(True, (row[1:] != row[:-1]) | (key[1:] != key[:-1]))[:len(row)]
+                at = pa.array(row[one])
+                yield pa.RecordBatch.from_arrays([*(part.column(x).take(at) for x in KEY), pa.array(key[one].view(np.int64))], [*KEY, "h"])
+    return run
+
+
+def _tiled(match: int, coverage: float):
+    """The items of each row's group that its text holds."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(batch.num_rows):
+                part = batch.slice(at, 1)
+                seeds = Seeds([(x["item_id"], x["text"]) for x in part.column("items")[0].as_py()], match, coverage)
                 rows = list(seeds.matches(part))
-                doc = part.column("doc_id")
+                key = pa.array([0] * len(rows), pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [doc.take(pa.array([x[0] for x in rows], pa.int64())), pa.array([seeds.ids[x[1]] for x in rows], pa.int64()),
+                    [*(part.column(x).take(key) for x in KEY), pa.array([seeds.ids[x[1]] for x in rows], pa.int64()),
                      pa.array([len(seeds.words[x[1]]) for x in rows], pa.int64()), pa.array([x[2] for x in rows], pa.int64()),
                      pa.array([x[3] for x in rows], pa.int64()), pa.array([x[4] for x in rows], pa.float64())],
-                    ["doc_id", "item_id", "item_words", "covered", "n_tiles", "coverage"])
+                    [*KEY, "item_id", "item_words", "covered", "n_tiles", "coverage"])
     return run
 
 
-def _clean(items: list, match: int, coverage: float):
+def hash_filter(values: DataFrame, column: str) -> np.ndarray:
+    """A bit for the low bits of each hash in ``column``, as bytes: at most ``FILTER_BITS`` bits,
+    whatever the number of values. A value without its bit is not among them."""
+    count = values.count()
+    size = min(FILTER_BITS, 1 << max(15, (16 * count).bit_length()))
+    place = F.col(column).bitwiseAND(F.lit(size - 1)) + 1
+    parts = (values.select(place.alias("place")).groupBy(F.bitmap_bucket_number("place").alias("bucket"))
+             .agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits")).collect())
+    bits = np.zeros(size // 8, np.uint8)
+    for r in parts:
+        at = (r.bucket - 1) * 4096
+        bits[at:at + 4096] = np.frombuffer(bytes(r.bits), np.uint8)
+    return bits
+
+
+def passes(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
+    at = h & (8 * len(bits) - 1)
+    return (bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+
+
+def _passing(column: str, bits: np.ndarray, wanted: bool = True):
+    """The rows whose hash passes the filter, or those whose hash does not."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seeds = Seeds(items, match, coverage)
         for batch in batches:
-            for part in slices(batch, "text"):
-                keep = np.ones(part.num_rows, bool)
-                for x in seeds.matches(part):
-                    keep[x[0]] = False
-                yield part.filter(pa.array(keep))
+            h = batch.column(column).to_numpy(zero_copy_only=False)
+            yield batch.filter(pa.array(passes(bits, h) == wanted))
     return run
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, match: int = MATCH, coverage: float = COVERAGE,
-          block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def with_key(docs: DataFrame) -> DataFrame:
+    return docs.withColumn(KEY[0], F.xxhash64("text")).withColumn(KEY[1], F.xxhash64(F.lit(1), "text"))
+
+
+def held_items(docs: DataFrame, benchmark: DataFrame, match: int, coverage: float) -> DataFrame:
+    """The items that each different text holds, by the text's key; a stored table."""
+    items = stored(benchmark.filter("item_id is not null and text is not null").select("item_id", "text").distinct()
+                   .select(row_number_of(), "item_id", "text"), "items")
+    seeds = stored(items.mapInArrow(_item_seeds(match), "rid long, n long, k int, h long, many long"), "seeds")
+    sizes = sorted(r.k for r in seeds.select("k").distinct().collect())
+    texts = with_key(docs.filter("text is not null").select("text"))
+    mine = stored(texts.mapInArrow(_text_seeds(sizes, hash_filter(seeds, "h")), "_tk long, _tk2 long, h long").distinct(), "text-seeds")
+    # a text that holds an item has at least ``need`` of its places in tiles: a tile of t words has
+    # t - k + 1 places, not less than t / k. So ``need`` - 1 places, those most texts have, are left out
+    rank = Window.partitionBy("rid").orderBy(F.desc("texts"), "h").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    need = F.greatest(F.ceil((F.col("n") * F.lit(coverage) - F.lit(1e-9)) / F.col("k")), F.lit(1))
+    rare = stored(seeds.join(mine.groupBy("h").agg(F.count(F.lit(1)).alias("texts")), "h", "left")
+                  .withColumn("places", F.sum("many").over(rank))
+                  .filter(F.col("texts").isNotNull() & (F.col("places") >= need)).select("rid", "h"), "rare-seeds")
+    pairs = stored(mine.join(rare, "h").select(*KEY, "rid").distinct(), "pairs")
+    # a text's items in groups of bounded size
+    sized = pairs.join(items.select("rid", (F.octet_length("text") + 1024).alias("size")), "rid")
+    cuts = stored(sized.groupBy(*KEY).agg(F.ceil(F.sum("size") / F.lit(GROUP_BYTES)).alias("cuts")), "cuts")
+    groups = (pairs.join(cuts, KEY).withColumn("cut", F.pmod(F.xxhash64("rid"), F.col("cuts"))).join(items, "rid")
+              .groupBy(*KEY, "cut").agg(F.collect_list(F.struct("item_id", "text")).alias("items")))
+    # texts without a pair are left out before the shuffle
+    found = (texts.mapInArrow(_passing(KEY[0], hash_filter(cuts, KEY[0])), texts.schema)
+             .join(cuts.select(*KEY), KEY, "left_semi").dropDuplicates(KEY))
+    return stored(groups.join(found, KEY).select(*KEY, "text", "items").mapInArrow(
+        _tiled(match, coverage), "_tk long, _tk2 long, item_id long, item_words long, covered long, n_tiles long, coverage double"), "held")
+
+
+def leaks(docs: DataFrame, benchmark: DataFrame, match: int = MATCH, coverage: float = COVERAGE) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text) and item of ``benchmark`` (item_id, text) it holds:
     doc_id, item_id, item_words, covered, n_tiles, coverage (covered / item_words >= ``coverage``).
 
     An item below ``match`` words has to occur whole. Items without words, null or empty texts hold
-    and are held by nothing. Equal items each give a row. Repeated rows of ``docs`` each give theirs.
-    Empty tables give an empty result; other columns are ignored.
+    and are held by nothing. Equal items each give a row, rows of ``benchmark`` that repeat one do
+    not. Repeated rows of ``docs`` each give theirs. Empty tables give an empty result; other columns
+    are ignored.
     """
-    schema = "doc_id long, item_id long, item_words long, covered long, n_tiles long, coverage double"
-    rows = docs.select("doc_id", "text")
-    out = docs.sparkSession.createDataFrame([], schema)
-    for items in blocks(docs.sparkSession, benchmark, block_bytes):
-        out = out.unionByName(rows.mapInArrow(_leaks(items, match, coverage), schema))
-    return out
+    held = held_items(docs, benchmark, match, coverage)
+    return (with_key(docs.select("doc_id", "text")).drop("text").join(held, KEY)
+            .select("doc_id", "item_id", "item_words", "covered", "n_tiles", "coverage"))
 
 
-def clean_documents(docs: DataFrame, benchmark: DataFrame, match: int = MATCH, coverage: float = COVERAGE,
-                    block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``docs`` without the rows that hold an item of ``benchmark`` (see ``leaks``); no shuffle."""
-    for items in blocks(docs.sparkSession, benchmark, block_bytes):
-        docs = docs.mapInArrow(_clean(items, match, coverage), docs.schema)
-    return docs
+def clean_documents(docs: DataFrame, benchmark: DataFrame, match: int = MATCH, coverage: float = COVERAGE) -> DataFrame:
+    """``docs`` without the rows that hold an item of ``benchmark`` (see ``leaks``). Only rows that
+    pass a filter made of the texts to remove are joined with these."""
+    gone = stored(held_items(docs, benchmark, match, coverage).select(*KEY).distinct(), "gone")
+    bits = hash_filter(gone, KEY[0])
+    # other columns may have any name
+    keyed = with_key(docs.toDF(*[c if c == "text" else f"c{i}" for i, c in enumerate(docs.columns)]))
+    clear = keyed.mapInArrow(_passing(KEY[0], bits, False), keyed.schema)
+    rest = keyed.mapInArrow(_passing(KEY[0], bits), keyed.schema).join(gone, KEY, "left_anti")
+    return clear.unionByName(rest).drop(*KEY).toDF(*docs.columns)

@@ -1,6 +1,8 @@
 import random
 import re
 
+import numpy as np
+
 from pricewell.llm import tiling as op
 
 
@@ -63,10 +65,10 @@ def corpus():
     return [(i * 2, t) for i, t in enumerate(docs)], items
 
 
-def test_leaks_equal_brute_force(spark):
+def test_leaks_equal_brute_force(spark, monkeypatch):
     docs, items = corpus()
     docs += [docs[10], (None, docs[11][1])]
-    d = spark.createDataFrame([(*r, 7, 0.1) for r in docs], "doc_id long, text string, item_id int, coverage double")
+    d = spark.createDataFrame([(*r, 7, 0.1) for r in docs], "doc_id long, text string, _tk int, coverage double")
     b = spark.createDataFrame([(*r, "clash") for r in items], "item_id long, text string, doc_id string")
     want = []
     for i, t in docs:
@@ -76,15 +78,49 @@ def test_leaks_equal_brute_force(spark):
                 n = sum(x[2] for x in brute_tiles(w, v, min(5, len(w))))
                 if n / len(w) >= 0.8 - 1e-12:
                     want.append((i, k, len(w), n))
-    for block in (op.BLOCK_BYTES, 200):
-        got = [(r.doc_id, r.item_id, r.item_words, r.covered) for r in op.leaks(d, b, block_bytes=block).collect()]
+    for group, most in ((op.GROUP_BYTES, op.FILTER_BITS), (2000, 1 << 15)):
+        monkeypatch.setattr(op, "GROUP_BYTES", group)
+        monkeypatch.setattr(op, "FILTER_BITS", most)
+        got = [(r.doc_id, r.item_id, r.item_words, r.covered) for r in op.leaks(d, b).collect()]
         assert sorted(map(str, got)) == sorted(map(str, want))
-        kept = op.clean_documents(d, b, block_bytes=block).collect()
+        kept = op.clean_documents(d, b)
+        assert kept.columns == d.columns
         bad = {str(x[0]) for x in want}
-        assert sorted(str(r.doc_id) for r in kept) == sorted(str(i) for i, _ in docs if str(i) not in bad)
+        assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(i) for i, _ in docs if str(i) not in bad)
     assert any(x[3] == x[2] for x in want) and len(want) > 10
 
 
+def test_hash_filter_has_every_value(spark):
+    rnd = np.random.default_rng(2)
+    own = rnd.integers(-2 ** 63, 2 ** 63 - 1, 5000)
+    bits = op.hash_filter(spark.createDataFrame([(int(x),) for x in own], "h long"), "h")
+    assert op.passes(bits, own).all()
+    assert op.passes(bits, rnd.integers(-2 ** 63, 2 ** 63 - 1, 20000)).mean() < 0.1
+
+
+def test_rarest_seeds_find_spread_tiles(spark):
+    """Items held at just the coverage, in tiles of exactly five words, with seeds that very many
+    texts share: leaving out the most frequent seeds must lose none."""
+    rnd = random.Random(9)
+    stock = ["to be or not to be that is the question whether", "it was the best of times it was the worst of times"]
+    items = [(i, " ".join([stock[i % 2], *(f"w{i}x{j}" for j in range(24 - len(stock[i % 2].split())))])) for i in range(12)]
+    docs = [(j, f"{rnd.choice(stock)} filler{j}") for j in range(300)]
+    for i, t in items:
+        w = t.split()
+        pieces = [w[a:a + 5] for a in range(0, 20, 5)]
+        rnd.shuffle(pieces)
+        docs.append((1000 + i, " ".join(f"{' '.join(p)} z{i}" for p in pieces)))
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {(r.doc_id, r.item_id, r.covered) for r in op.leaks(d, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    want = set()
+    for i, t in docs:
+        for k, s in items:
+            n = sum(x[2] for x in brute_tiles(words(s), words(t), 5))
+            if n >= 0.8 * len(words(s)):
+                want.add((i, k, n))
+    assert got == want and len(want) == 12
+
+
 def test_empty_tables(spark):
     d = spark.createDataFrame([(1, "a b c d e")], "doc_id long, text string")
     b = spark.createDataFrame([], "item_id long, text string")
