@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .shared import stored
@@ -29,7 +29,9 @@ CELL = 1024
 # of windows and how far the position lies behind the first window.
 SCAN = "doc_id long, tk long, sha string, n_words long, runs array<struct<h: long, at: long>>"
 _LOW = 12
-FOUND = "doc_id long, tk long, a int, b int, src long, shared binary, run int, src_tk long, src_run int, src_a int"
+FOUND = "doc_id long, tk long, a int, b int, src long, shared binary, src_tk long, src_a int"
+# Windows of a text whose sources are looked up together.
+_BLOCK = 1024
 
 
 def joined_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[bytes, np.ndarray, np.ndarray]:
@@ -84,7 +86,7 @@ def _scan(window: int, mer: int):
     return run
 
 
-def _pieces(window: int, cell: int):
+def _pieces(window: int, cell: int, aligned: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
@@ -102,7 +104,10 @@ def _pieces(window: int, cell: int):
                 b = a + many + window - 2
                 doc = part.column("doc_id").to_numpy()[row]
                 cells = -(-total // cell)
-                salt = (mix(doc.view(np.uint64) ^ h.view(np.uint64)) % cells.astype(np.uint64)).astype(np.int32)
+                unit = doc.view(np.uint64) ^ h.view(np.uint64)
+                if aligned:  # documents that share several minimisers share the cells of all of them
+                    unit, cells = doc.view(np.uint64), 1 << np.ceil(np.log2(cells)).astype(np.int64)
+                salt = (mix(unit) % cells.astype(np.uint64)).astype(np.int32)
                 text = [raw[s:e] for s, e in zip(begin[a].tolist(), stop[b].tolist())] if len(a) else []
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(h), pa.array(salt), pa.array(cells > 1), pa.array(doc), pa.array(part.column("tk").to_numpy()[row]),
@@ -130,8 +135,8 @@ def repeated_windows(docs: DataFrame, cell_task: Callable, window: int = WINDOW,
     are split over cells, each window of the cell's smallest document with its words in ``shared``;
     those are compared across cells in a second step, by at most one row a cell and window. With
     ``sources``, ``src`` is the smallest document of all cells: rows of split minimisers name the
-    run of windows of the cell's smallest document (src_tk, src_run, from window src_a on), through
-    which they get what the second step found for it. Without, ``src`` may be the cell's smallest.
+    text and window of the cell's smallest document (src_tk, src_a), through which they get what the
+    second step found for it. Without, ``src`` may be the cell's smallest.
 
     Texts with the same words are one text, represented by the smallest doc_id. Rows without doc_id
     or text have no windows. tk, a hash of the text, tells rows apart that repeat a doc_id.
@@ -151,7 +156,7 @@ def repeated_windows(docs: DataFrame, cell_task: Callable, window: int = WINDOW,
             .agg(F.sort_array(F.collect_list(F.struct("at", "h", "n"))).alias("runs")))
     touched = stored(rows.join(runs, ["doc_id", "tk"]).dropDuplicates(["doc_id", "tk"]), "touched")
     pieces = touched.mapInArrow(
-        _pieces(window, cell),
+        _pieces(window, cell, sources),
         "h long, salt int, split boolean, doc_id long, tk long, start int, len int, pos int, piece binary")
     found = stored(pieces.repartition("h", "salt").sortWithinPartitions("h", "salt")
                    .mapInArrow(cell_task(window), FOUND), "found")
@@ -161,14 +166,8 @@ def repeated_windows(docs: DataFrame, cell_task: Callable, window: int = WINDOW,
     span = ["doc_id", "tk", "a", "b", "src"]
     inside = found.filter("shared is null")
     if sources:
-        late = stored(late.select("doc_id", "tk", "run", "a", "b", F.col("least").alias("src")), "late")
-        # a run has at most as many windows as fit before its position, so the arrays are short
-        lower = stored(late.groupBy(F.col("doc_id").alias("_doc"), F.col("tk").alias("_tk"), F.col("run").alias("_run"))
-                       .agg(F.collect_set(F.struct("a", "src")).alias("lower")), "lower")
-        of_run = (F.col("src") == F.col("_doc")) & (F.col("src_tk") == F.col("_tk")) & (F.col("src_run") == F.col("_run"))
-        least_src = F.expr("least(src, array_min(transform(filter(lower, x -> x.a >= src_a and x.a < src_a + b - a), x -> x.src)))")
-        carried = inside.filter("src_tk is not null").join(lower, of_run, "left").withColumn("src", least_src)
-        inside = inside.filter("src_tk is null").select(*span).unionByName(carried.select(*span))
+        late = stored(late.select("doc_id", "tk", "a", "b", F.col("least").alias("src")), "late")
+        inside = inside.filter("src_tk is null").select(*span).unionByName(carried_sources(inside.filter("src_tk is not null"), late))
     else:
         late = late.withColumn("src", F.col("least"))
     spans = (inside.select(*span).unionByName(late.select(*span))
@@ -176,15 +175,37 @@ def repeated_windows(docs: DataFrame, cell_task: Callable, window: int = WINDOW,
     return Repeats(scan.drop("runs"), first, touched.drop("runs"), spans)
 
 
+def carried_sources(inside: DataFrame, late: DataFrame) -> DataFrame:
+    """``inside`` (doc_id, tk, a, b, src, src_tk, src_a) as longer spans doc_id, tk, a, b, src, whose
+    ``src`` is the least that ``late`` (doc_id, tk, a, src) has for the windows of the source.
+
+    Spans that follow one another here and in the source become one before the join. The windows of
+    a source are looked up in blocks, so that no array grows with a text."""
+    same = ["doc_id", "tk", "src", "src_tk", "off"]
+    order = Window.partitionBy(*same).orderBy("a", "b")
+    far = F.max("b").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    joined = (inside.withColumn("off", F.col("src_a") - F.col("a"))
+              .withColumn("new", F.coalesce(F.col("a") > far, F.lit(True)).cast("int"))
+              .withColumn("nth", F.sum("new").over(order))
+              .groupBy(*same, "nth").agg(F.min("a").alias("a"), F.max("b").alias("b")))
+    block = F.floor(F.col("a") / F.lit(_BLOCK)).cast("int")
+    cut = (joined.withColumn("block", F.explode(F.expr(f"sequence(int((a + off) div {_BLOCK}), int((b + off - 1) div {_BLOCK}))")))
+           .withColumn("a", F.greatest("a", F.col("block") * _BLOCK - F.col("off")))
+           .withColumn("b", F.least("b", (F.col("block") + 1) * _BLOCK - F.col("off"))))
+    lower = stored(late.groupBy(F.col("doc_id").alias("src"), F.col("tk").alias("src_tk"), block.alias("block"))
+                   .agg(F.collect_set(F.struct("a", "src")).alias("lower")), "lower")
+    least = F.expr("least(src, array_min(transform(filter(lower, x -> x.a >= a + off and x.a < b + off), x -> x.src)))")
+    return cut.join(lower, ["src", "src_tk", "block"], "left").select("doc_id", "tk", "a", "b", least.alias("src"))
+
+
 def found_batch(doc: np.ndarray, tk: np.ndarray, a: np.ndarray, b: np.ndarray, src: np.ndarray, shared: list,
-                run: np.ndarray | None = None, via: tuple[pa.Array, ...] | None = None) -> pa.RecordBatch:
-    """``FOUND`` rows; ``run`` the first window of the row's run, ``via`` src_tk, src_run and src_a."""
+                via: tuple[pa.Array, ...] | None = None) -> pa.RecordBatch:
+    """``FOUND`` rows; ``via`` src_tk and src_a."""
     n = len(doc)
-    via = via or (pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int32()))
+    via = via or (pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()))
     return pa.RecordBatch.from_arrays(
         [pa.array(doc), pa.array(tk), pa.array(a.astype(np.int32)), pa.array(b.astype(np.int32)), pa.array(src), pa.array(shared, pa.binary()),
-         pa.nulls(n, pa.int32()) if run is None else pa.array(run.astype(np.int32)), *via],
-        ["doc_id", "tk", "a", "b", "src", "shared", "run", "src_tk", "src_run", "src_a"])
+         *via], ["doc_id", "tk", "a", "b", "src", "shared", "src_tk", "src_a"])
 
 
 def merge_windows(row: np.ndarray, at: np.ndarray, src: np.ndarray, rep: np.ndarray | None = None,

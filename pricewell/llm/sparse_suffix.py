@@ -77,13 +77,13 @@ def compared_suffixes(window: int):
                 stay = row[~late & split[row]]
                 open_row.append(stay), open_win.append((pos - o)[stay])
             row, a, b, src, rep, rep_a = merge_windows(*(np.concatenate(x) for x in (rows, wins, srcs, reps, rep_wins)))
-            via = tuple(pa.array(x, mask=rep < 0) for x in (tk[rep], start[rep].astype(np.int32), rep_a.astype(np.int32)))
+            via = tuple(pa.array(x, mask=rep < 0) for x in (tk[rep], rep_a.astype(np.int32)))
             yield found_batch(doc[row], tk[row], a, b, src, [None] * len(row), via=via)
             row, a = np.concatenate(open_row), np.concatenate(open_win)
             if len(row):
                 w = first[row] + a - start[row]
                 yield found_batch(doc[row], tk[row], a, a + 1, doc[row],
-                                  [raw[s:e] for s, e in zip(starts[w].tolist(), ends[w + window - 1].tolist())], run=start[row])
+                                  [raw[s:e] for s, e in zip(starts[w].tolist(), ends[w + window - 1].tolist())])
     return run
 
 

@@ -135,3 +135,27 @@ def test_empty_table(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert superkmer_dedup.dedup_substrings(empty).count() == 0
     assert sparse_suffix.repeated_passages(empty).count() == 0
+
+
+def test_carried_sources_equal_brute_force(spark, monkeypatch):
+    """Spans that touch, overlap or cross the blocks get the least source of any of their windows."""
+
+    from pricewell.llm import minimisers
+    monkeypatch.setattr(minimisers, "_BLOCK", 7)
+    rnd = random.Random(5)
+    inside, at = [], 0
+    for _ in range(60):
+        at += rnd.choice([0, 3, 5])
+        n = rnd.randint(1, 5)
+        inside.append((50, 500, at, at + n, 40, 400, at + 11))
+        at += n
+    late = [(40, 400, w, w + 1, rnd.randint(1, 39)) for w in range(0, at + 20) if rnd.random() < 0.3]
+    late.append((40, 401, 12, 13, 0))  # another text with that doc_id
+    got = minimisers.carried_sources(
+        spark.createDataFrame(inside, "doc_id long, tk long, a int, b int, src long, src_tk long, src_a int"),
+        spark.createDataFrame(late, "doc_id long, tk long, a int, b int, src long")).collect()
+    windows = {w for x in inside for w in range(x[2], x[3])}
+    assert sorted(w for r in got for w in range(r.a, r.b)) == sorted(windows)
+    for r in got:
+        assert r.src == min([40, *(x[4] for x in late if x[1] == 400 and r.a + 11 <= x[2] < r.b + 11)])
+        assert (r.a + 11) // 7 == (r.b + 10) // 7
