@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from pricewell.llm import sparse_suffix, superkmer_dedup
+from pricewell.llm import minimisers, sparse_suffix, superkmer_dedup
 
 W = 50
 
@@ -139,8 +139,6 @@ def test_empty_table(spark):
 
 def test_carried_sources_equal_brute_force(spark, monkeypatch):
     """Spans that touch, overlap or cross the blocks get the least source of any of their windows."""
-
-    from pricewell.llm import minimisers
     monkeypatch.setattr(minimisers, "_BLOCK", 7)
     rnd = random.Random(5)
     inside, at = [], 0
