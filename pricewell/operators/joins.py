@@ -1,4 +1,4 @@
-"""Distributed ordered keys."""
+"""Distributed ordered keys, and the join with a list of bounded size."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
@@ -7,6 +7,16 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir
 
 
+# A list of at most so many rows is sent to every task instead of dealing the rows it is joined with.
+LIST_ROWS = 1_000_000
+
+
+def bounded_list(df: DataFrame, rows: int = LIST_ROWS) -> DataFrame:
+    """``df``, to be broadcast if it has at most ``rows`` rows; they are counted when this is called.
+    A longer one is left to the session, which joins it by a shuffle."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def with_ordered_index(df: DataFrame, order_cols: list[str], name: str, start=0) -> DataFrame:
     """Append a dense 1-based index ``start + rank`` in the order of ``order_cols``.
 

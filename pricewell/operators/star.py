@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import calendar_columns, date_key, lenient_date, normalise_ticker
-from .joins import with_ordered_index
+from .joins import bounded_list, with_ordered_index
 
 UNKNOWN_SECTOR = "Unknown"
 DIM_SECTOR_COLS = ["sector_key", "sector_name"]
@@ -87,7 +87,7 @@ def fact_rows(metrics: DataFrame, dim_instrument: DataFrame, run_id) -> DataFram
     integrity checks. ``sector_key`` is taken from the instrument dimension (denormalised at load
     time).
     """
-    keys = dim_instrument.select("ticker", "instrument_key", "sector_key")
+    keys = bounded_list(dim_instrument.select("ticker", "instrument_key", "sector_key"))
     return (metrics.join(keys, "ticker", "left")
             .select("instrument_key", date_key("trade_date").alias("date_key"), "sector_key",
                     F.col("open").alias("open_price"), F.col("high").alias("high_price"),
@@ -103,11 +103,11 @@ def replaced_ranges(new_fact: DataFrame) -> DataFrame:
                                                   F.count(F.lit(1)).alias("_rows"))
 
 
-def range_replace(existing: DataFrame, new_fact: DataFrame) -> DataFrame:
+def range_replace(existing: DataFrame, new_fact: DataFrame, ranges: DataFrame | None = None) -> DataFrame:
     """Idempotent load: drop existing rows of each instrument inside the batch's min..max date
     range, then add the batch. Re-running a batch replaces, never duplicates. The range table has
-    one row per instrument of the batch."""
-    ranges = replaced_ranges(new_fact).select(F.col("instrument_key").alias("_ik"), "_lo", "_hi")
+    one row per instrument of the batch; a written one may be given as ``ranges``."""
+    ranges = (replaced_ranges(new_fact) if ranges is None else ranges).select(F.col("instrument_key").alias("_ik"), "_lo", "_hi")
     kept = existing.join(ranges, (existing["instrument_key"] == ranges["_ik"])
                          & existing["date_key"].between(ranges["_lo"], ranges["_hi"]), "left_anti")
     return kept.unionByName(new_fact.select(*existing.columns))
@@ -125,7 +125,7 @@ def integrity_checks(fact: DataFrame, dim_date: DataFrame, dim_instrument: DataF
     one = F.count(F.lit(1))
 
     def known(df: DataFrame, key: str) -> DataFrame:
-        return df.select(F.col(key), F.lit(1).alias(f"_has_{key}")).distinct()
+        return bounded_list(df.select(F.col(key), F.lit(1).alias(f"_has_{key}")).distinct())
 
     rows = fact.select("instrument_key", "date_key", "sector_key", "load_run_id", "close_price", "high_price", "low_price", "volume")
     for df, key in ((dim_date, "date_key"), (dim_instrument, "instrument_key"), (dim_sector, "sector_key"), (ledger, "load_run_id")):

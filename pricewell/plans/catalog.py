@@ -94,7 +94,7 @@ def q_rejects(spark, d):
 
 
 def q_reject_counts(spark, d):
-    return reject_counts(_staging(spark, d)[2].rejects)
+    return reject_counts(_staging(spark, d)[2].refused, "_n")
 
 
 def q_staging_totals(spark, d):

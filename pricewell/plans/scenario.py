@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from ..sources.tape import tape_instruments, tape_prices
+from ..sources.tape import tape_files, tape_instruments, tape_prices
 from ..sources.warehouse import WarehouseStore
 from .job import run_load
 
@@ -34,14 +34,15 @@ def tape(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return tape_prices(spark, sf_dir), tape_instruments(spark, sf_dir)
 
 
-def split_files(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+def split_files(raw: DataFrame, files: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(all files but the newest, the two newest files), by file name order.
 
-    Both bounds come from the distinct file names (one small aggregate per bound).
+    Both bounds come from the two last of the distinct file names (``files``, else those of the
+    rows), looked up once.
     """
-    files = raw.select("source_file").distinct()
-    newest = files.agg(F.max("source_file")).scalar()
-    second = files.orderBy(F.desc("source_file")).limit(2).agg(F.min("source_file")).scalar()
+    names = raw.select("source_file").distinct() if files is None else files
+    last = names.orderBy(F.desc("source_file")).limit(2)
+    newest, second = map(F.lit, last.agg(F.max("source_file"), F.min("source_file")).head())
     return raw.filter(F.col("source_file") < newest), raw.filter(F.col("source_file") >= second)
 
 
@@ -67,7 +68,7 @@ def _state(spark: SparkSession, sf_dir: str, kind: str) -> WarehouseStore:
         if kind == "full":
             _load(raw, inst, root, 1)
         else:
-            first, second = split_files(raw)
+            first, second = split_files(raw, tape_files(spark, sf_dir))
             _load(first, inst, root, 1)
             _fail(second, inst, root)
             _load(second, inst, root, 3)

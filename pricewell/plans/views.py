@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import date_key as key_of
 from ..functions import guarded_ratio
 from ..operators import measures as M
+from ..operators.joins import bounded_list
 from ..operators.metrics import TRADING_DAYS
 from .load import Warehouse
 
@@ -33,8 +34,10 @@ def star(wh: Warehouse, fact: DataFrame | None = None) -> DataFrame:
     """Fact joined to instrument, sector and date (inner): the dashboard's fact set."""
     inst, sec, day = _dims(wh)
     fact = (wh.fact_daily_price if fact is None else fact).drop("fact_year", "fact_bucket")
-    return (fact.join(inst, "instrument_key").join(sec, "sector_key")
-            .join(day.select("date_key", "full_date", "year", "quarter", "month"), "date_key"))
+    for dim, key in ((inst, "instrument_key"), (sec, "sector_key"),
+                     (day.select("date_key", "full_date", "year", "quarter", "month"), "date_key")):
+        fact = fact.join(bounded_list(dim), key)
+    return fact
 
 
 def instrument_latest(wh: Warehouse) -> DataFrame:

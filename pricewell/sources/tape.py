@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import raw_record
+from ..operators.joins import bounded_list
 from .feed import RAW_COLUMNS
 
 
@@ -35,22 +36,34 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tape_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The file names of the feed, each once; no row is dealt for them."""
+    supplier = bounded_list(_table(spark, sf_dir, "supplier").select("s_suppkey"))
+    li = _table(spark, sf_dir, "lineitem").select("l_suppkey", F.col("l_shipdate").cast("date").alias("dt"))
+    return (li.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"), "left_semi")
+            .select(_source_file().alias("source_file")).distinct())
+
+
+def _source_file():
+    return F.concat(F.lit("prices_"), F.year("dt").cast("string"), F.lit(".csv"))
+
+
 def tape_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw feed: the 7 text columns plus ``source_file`` and ``raw_record``."""
-    supplier = _table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
-    # one row group of the table is one task's, however many rows it has: the numbers it needs are
-    # dealt over all tasks before text is made of them
+    supplier = bounded_list(_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name"))
+    # one row group of the table is one task's, however many rows it has: the few numbers that the
+    # text is made of are dealt over all tasks first
     li = (_table(spark, sf_dir, "lineitem")
-          .select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate")
-          .repartition("l_orderkey", "l_linenumber")
-          .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
           .select(
-              "s_name", "l_linenumber",
+              "l_suppkey", "l_linenumber",
               F.col("l_shipdate").cast("date").alias("dt"),
               F.col("l_quantity").cast("bigint").alias("qty"),
               (F.lit(100) + F.col("l_extendedprice").cast("decimal(12,2)") % 10)
               .cast("decimal(12,2)").alias("o"),
-              (F.col("l_orderkey") * 7 + F.col("l_linenumber") * 13 + F.col("l_partkey")).alias("h")))
+              (F.col("l_orderkey") * 7 + F.col("l_linenumber") * 13 + F.col("l_partkey")).alias("h"))
+          .repartition("h", "l_linenumber", "l_suppkey", "dt", "o")
+          .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+          .drop("l_suppkey", "s_suppkey"))
     li = li.withColumn(
         "c", (F.col("o") + (F.col("l_linenumber") - 4) * F.lit(Decimal("0.25"))).cast("decimal(12,2)"))
 
@@ -71,7 +84,7 @@ def tape_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
          .when(h % 107 == 0, F.lit("abc"))
          .otherwise(c.cast("string")).alias("close"),
         F.when(h % 229 == 0, F.lit("-1")).otherwise(F.col("qty").cast("string")).alias("volume"),
-        F.concat(F.lit("prices_"), F.year("dt").cast("string"), F.lit(".csv")).alias("source_file"),
+        _source_file().alias("source_file"),
     )
     # Exact copies: the same delivery twice, generated in place (one scan, no union).
     feed = raw.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.when(h % 97 == 0, 2).otherwise(1))))

@@ -194,6 +194,10 @@ class WarehouseStore:
             out = one if out is None else out.unionByName(one)
         return self.spark.createDataFrame([], schema) if out is None else out
 
+    def read_written_fact(self, run_id: int) -> DataFrame:
+        """All rows of the parts that one run wrote."""
+        return self.spark.read.schema(with_parts(SCHEMAS["fact_daily_price"])).parquet(self.path("fact_daily_price", f"run={run_id}"))
+
     def read(self, as_of: int | None = None) -> Warehouse:
         """The committed warehouse (as of a run, if given and not vacuumed) and the whole ledger."""
         runs = self.committed_runs(as_of)
@@ -234,7 +238,7 @@ class WarehouseStore:
         """The live state with ``parts`` replaced by what run ``run_id`` wrote; a part that has no
         rows any more is left out."""
         now = self.state()
-        held = self.read_fact(parts, dict.fromkeys(parts, run_id)) if parts else None
+        held = self.read_written_fact(run_id) if parts else None
         found = held.select("fact_year", "fact_bucket", "load_run_id").distinct().collect() if parts else []
         for part in parts:
             now.folder.pop(part, None), now.runs.pop(part, None)
