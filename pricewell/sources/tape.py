@@ -24,7 +24,7 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import raw_record
@@ -48,6 +48,15 @@ def _source_file():
     return F.concat(F.lit("prices_"), F.year("dt").cast("string"), F.lit(".csv"))
 
 
+def hundredths(x: str) -> Column:
+    """``cast(x as decimal(12,2))`` as a whole number of hundredths. Away from the middle between two
+    of them, doubles give the same; only the rest, and what is very large, takes decimals."""
+    scaled = F.col(x).cast("double") * 100
+    near = F.rint(scaled)
+    plain = (F.abs(scaled) < 1e11) & (F.abs(scaled - near) < 0.25)
+    return F.when(plain, near.cast("bigint")).otherwise((F.col(x).cast("decimal(12,2)") * 100).cast("bigint"))
+
+
 def tape_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw feed: the 7 text columns plus ``source_file`` and ``raw_record``."""
     supplier = bounded_list(_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name"))
@@ -58,12 +67,12 @@ def tape_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
               "l_suppkey", "l_linenumber",
               F.col("l_shipdate").cast("date").alias("dt"),
               F.col("l_quantity").cast("bigint").alias("qty"),
-              (F.lit(100) + F.col("l_extendedprice").cast("decimal(12,2)") % 10)
-              .cast("decimal(12,2)").alias("o"),
+              (F.lit(10000) + hundredths("l_extendedprice") % 1000).alias("o"),
               (F.col("l_orderkey") * 7 + F.col("l_linenumber") * 13 + F.col("l_partkey")).alias("h"))
           .repartition("h", "l_linenumber", "l_suppkey", "dt", "o")
           .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
-          .drop("l_suppkey", "s_suppkey"))
+          .drop("l_suppkey", "s_suppkey")
+          .withColumn("o", (F.col("o").cast("decimal(12,0)") * F.lit(Decimal("0.01"))).cast("decimal(12,2)")))
     li = li.withColumn(
         "c", (F.col("o") + (F.col("l_linenumber") - 4) * F.lit(Decimal("0.25"))).cast("decimal(12,2)"))
 
