@@ -22,8 +22,11 @@ def normalise_ticker(x) -> Column:
 
 
 def safe_date(x) -> Column:
-    """Strict ``yyyy-MM-dd`` parse; anything else (and NULL) gives NULL instead of an error."""
-    return F.to_date(F.try_to_timestamp(_c(x), F.lit(DATE_FORMAT)))
+    """Strict ``yyyy-MM-dd`` parse; anything else (and NULL) gives NULL instead of an error. Text of that
+    shape is cast, which costs much less; only the rest is left to the format."""
+    text = _c(x)
+    plain = F.when(text.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z"), text.try_cast("date"))
+    return F.coalesce(plain, F.to_date(F.try_to_timestamp(text, F.lit(DATE_FORMAT))))
 
 
 # Text formats of listing dates, tried in this order; the third takes what has no
@@ -52,6 +55,14 @@ def safe_bigint(x) -> Column:
     return _c(x).try_cast("bigint")
 
 
+def two_digits(hundredths: str) -> Column:
+    """The text of a column of whole hundredths, with two digits behind the point. The column should be
+    a plain one: it is read several times."""
+    sign = F.when(F.col(hundredths) < 0, F.lit("-")).otherwise(F.lit(""))
+    behind = F.substr((F.abs(hundredths) % 100 + 100).cast("string"), F.lit(2))
+    return F.concat(sign, F.expr(f"abs({hundredths}) div 100").cast("string"), F.lit("."), behind)
+
+
 def raw_record(*cols) -> Column:
     """The raw columns re-joined with ``,``; NULL fields become empty text."""
     return F.concat_ws(",", *[F.coalesce(_c(c), F.lit("")) for c in cols])

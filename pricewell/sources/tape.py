@@ -22,12 +22,10 @@ Fixed values (must stay equal across engines, see FIXTURES.md section 2):
 """
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import raw_record
+from ..functions import raw_record, two_digits
 from ..operators.joins import bounded_list
 from .feed import RAW_COLUMNS
 
@@ -71,13 +69,15 @@ def tape_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
               (F.col("l_orderkey") * 7 + F.col("l_linenumber") * 13 + F.col("l_partkey")).alias("h"))
           .repartition("h", "l_linenumber", "l_suppkey", "dt", "o")
           .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
-          .drop("l_suppkey", "s_suppkey")
-          .withColumn("o", (F.col("o").cast("decimal(12,0)") * F.lit(Decimal("0.01"))).cast("decimal(12,2)")))
-    li = li.withColumn(
-        "c", (F.col("o") + (F.col("l_linenumber") - 4) * F.lit(Decimal("0.25"))).cast("decimal(12,2)"))
-
-    h, o, c, n = F.col("h"), F.col("o"), F.col("c"), F.col("l_linenumber")
+          .drop("l_suppkey", "s_suppkey"))
+    # prices stay whole hundredths until their text is made
+    h, o, c, n = F.col("h"), F.col("o"), F.col("c"), F.col("l_linenumber").cast("bigint")
     crossed = h % 199 == 0
+    li = li.withColumn("c", o + (n - 4) * 25)
+    li = li.withColumns({
+        "hi": F.when(crossed, F.least(o, c) - 100).otherwise(F.greatest(o, c) + n * 100),
+        "lo": F.when(crossed, F.greatest(o, c) + 100).otherwise(F.least(o, c) - n * 100),
+        "cl": F.when(h % 103 == 0, -c).otherwise(c)})
     raw = li.select(
         h,
         F.when(h % 257 == 0, F.lit("ZZZZ"))
@@ -85,13 +85,10 @@ def tape_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
          .when(h % 5 == 0, F.concat(F.lit(" "), F.lower("s_name"), F.lit(" ")))
          .otherwise(F.col("s_name")).alias("ticker"),
         F.when(h % 263 == 0, F.lit("31/13/2021")).otherwise(F.col("dt").cast("string")).alias("trade_date"),
-        o.cast("string").alias("open"),
-        F.when(crossed, F.least(o, c) - 1).otherwise(F.greatest(o, c) + n).cast("string").alias("high"),
-        F.when(crossed, F.greatest(o, c) + 1).otherwise(F.least(o, c) - n).cast("string").alias("low"),
+        two_digits("o").alias("open"), two_digits("hi").alias("high"), two_digits("lo").alias("low"),
         F.when(h % 101 == 0, F.lit(None).cast("string"))
-         .when(h % 103 == 0, (-c).cast("string"))
-         .when(h % 107 == 0, F.lit("abc"))
-         .otherwise(c.cast("string")).alias("close"),
+         .when((h % 107 == 0) & (h % 103 != 0), F.lit("abc"))
+         .otherwise(two_digits("cl")).alias("close"),
         F.when(h % 229 == 0, F.lit("-1")).otherwise(F.col("qty").cast("string")).alias("volume"),
         _source_file().alias("source_file"),
     )
