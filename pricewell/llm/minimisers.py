@@ -29,7 +29,7 @@ CELL = 1024
 # of windows and how far the position lies behind the first window.
 SCAN = "doc_id long, tk long, sha string, n_words long, runs array<struct<h: long, at: long>>"
 _LOW = 12
-FOUND = "doc_id long, tk long, a int, b int, src long, shared binary, src_tk long, src_a int"
+FOUND = "doc_id long, tk long, a int, b int, src long, shared binary, src_tk long, src_a int, src_again boolean"
 # Windows of a text whose sources are looked up together.
 _BLOCK = 1024
 
@@ -136,7 +136,10 @@ def repeated_windows(docs: DataFrame, cell_task: Callable, window: int = WINDOW,
     those are compared across cells in a second step, by at most one row a cell and window. With
     ``sources``, ``src`` is the smallest document of all cells: rows of split minimisers name the
     text and window of the cell's smallest document (src_tk, src_a), through which they get what the
-    second step found for it. Without, ``src`` may be the cell's smallest.
+    second step found for it. Equal windows of a text that touch or overlap may then be one row, a the
+    first and b - 1 the last, so that words that repeat in a text do not multiply its rows: with
+    ``shared``, or with src_again, where src_a is the source's first such window. Without, ``src`` may
+    be the cell's smallest.
 
     Texts with the same words are one text, represented by the smallest doc_id. Rows without doc_id
     or text have no windows. tk, a hash of the text, tells rows apart that repeat a doc_id.
@@ -167,7 +170,9 @@ def repeated_windows(docs: DataFrame, cell_task: Callable, window: int = WINDOW,
     inside = found.filter("shared is null")
     if sources:
         late = stored(late.select("doc_id", "tk", "a", "b", F.col("least").alias("src")), "late")
-        inside = inside.filter("src_tk is null").select(*span).unionByName(carried_sources(inside.filter("src_tk is not null"), late))
+        moved = inside.filter("src_tk is not null")
+        inside = inside.filter("src_tk is null").select(*span).unionByName(
+            carried_sources(moved.filter("not src_again"), late, moved.filter("src_again")))
     else:
         late = late.withColumn("src", F.col("least"))
     spans = (inside.select(*span).unionByName(late.select(*span))
@@ -175,12 +180,13 @@ def repeated_windows(docs: DataFrame, cell_task: Callable, window: int = WINDOW,
     return Repeats(scan.drop("runs"), first, touched.drop("runs"), spans)
 
 
-def carried_sources(inside: DataFrame, late: DataFrame) -> DataFrame:
+def carried_sources(inside: DataFrame, late: DataFrame, again: DataFrame | None = None) -> DataFrame:
     """``inside`` (doc_id, tk, a, b, src, src_tk, src_a) as longer spans doc_id, tk, a, b, src, whose
     ``src`` is the least that ``late`` (doc_id, tk, a, src) has for the windows of the source.
 
     Spans that follow one another here and in the source become one before the join. The windows of
-    a source are looked up in blocks, so that no array grows with a text."""
+    a source are looked up in blocks, so that no array grows with a text. ``again``: such rows whose
+    windows all have the words of the source's one window."""
     same = ["doc_id", "tk", "src", "src_tk", "off"]
     order = Window.partitionBy(*same).orderBy("a", "b")
     far = F.max("b").over(order.rowsBetween(Window.unboundedPreceding, -1))
@@ -191,21 +197,25 @@ def carried_sources(inside: DataFrame, late: DataFrame) -> DataFrame:
     block = F.floor(F.col("a") / F.lit(_BLOCK)).cast("int")
     cut = (joined.withColumn("block", F.explode(F.expr(f"sequence(int((a + off) div {_BLOCK}), int((b + off - 1) div {_BLOCK}))")))
            .withColumn("a", F.greatest("a", F.col("block") * _BLOCK - F.col("off")))
-           .withColumn("b", F.least("b", (F.col("block") + 1) * _BLOCK - F.col("off"))))
+           .withColumn("b", F.least("b", (F.col("block") + 1) * _BLOCK - F.col("off")))
+           .select("doc_id", "tk", "a", "b", "src", "src_tk", "block", F.expr("a + off as lo"), F.expr("b + off as hi")))
+    if again is not None:
+        cut = cut.unionByName(again.select("doc_id", "tk", "a", "b", "src", "src_tk", F.expr(f"int(src_a div {_BLOCK}) as block"),
+                                           F.col("src_a").alias("lo"), F.expr("src_a + 1 as hi")))
     lower = stored(late.groupBy(F.col("doc_id").alias("src"), F.col("tk").alias("src_tk"), block.alias("block"))
                    .agg(F.collect_set(F.struct("a", "src")).alias("lower")), "lower")
-    least = F.expr("least(src, array_min(transform(filter(lower, x -> x.a >= a + off and x.a < b + off), x -> x.src)))")
+    least = F.expr("least(src, array_min(transform(filter(lower, x -> x.a >= lo and x.a < hi), x -> x.src)))")
     return cut.join(lower, ["src", "src_tk", "block"], "left").select("doc_id", "tk", "a", "b", least.alias("src"))
 
 
 def found_batch(doc: np.ndarray, tk: np.ndarray, a: np.ndarray, b: np.ndarray, src: np.ndarray, shared: list,
                 via: tuple[pa.Array, ...] | None = None) -> pa.RecordBatch:
-    """``FOUND`` rows; ``via`` src_tk and src_a."""
+    """``FOUND`` rows; ``via`` src_tk, src_a and src_again."""
     n = len(doc)
-    via = via or (pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()))
+    via = via or (pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.bool_()))
     return pa.RecordBatch.from_arrays(
         [pa.array(doc), pa.array(tk), pa.array(a.astype(np.int32)), pa.array(b.astype(np.int32)), pa.array(src), pa.array(shared, pa.binary()),
-         *via], ["doc_id", "tk", "a", "b", "src", "shared", "src_tk", "src_a"])
+         *via], ["doc_id", "tk", "a", "b", "src", "shared", "src_tk", "src_a", "src_again"])
 
 
 def merge_windows(row: np.ndarray, at: np.ndarray, src: np.ndarray, rep: np.ndarray | None = None,

@@ -32,6 +32,11 @@ def sorted_extensions(words: np.ndarray, group: np.ndarray) -> tuple[np.ndarray,
     return order, np.append(-1, np.where(g[1:] == g[:-1], shared, -1))
 
 
+def via(tk: np.ndarray, rep: np.ndarray, rep_a: np.ndarray, again: bool) -> tuple[pa.Array, ...]:
+    """src_tk, src_a and src_again of ``FOUND``; ``rep`` is -1 where there is none."""
+    return pa.array(tk[rep], mask=rep < 0), pa.array(rep_a.astype(np.int32), mask=rep < 0), pa.array(np.full(len(rep), again))
+
+
 def compared_suffixes(window: int):
     """Cell task: sparse suffix arrays of each minimiser's suffixes, extended to both sides."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -45,10 +50,10 @@ def compared_suffixes(window: int):
             ids = np.fromiter((number.setdefault(raw[s:e], len(number) + 1) for s, e in zip(starts.tolist(), ends.tolist())),
                               np.int64, len(starts))
             group = np.repeat(np.arange(len(groups) - 1), np.diff(groups))
-            at = first[:-1] + pos - start
+            middle = first[:-1] + pos - start
 
             def side(step: int, size: int) -> np.ndarray:
-                cell = at[:, None] + step * np.arange(size)[None, :] - (step < 0)
+                cell = middle[:, None] + step * np.arange(size)[None, :] - (step < 0)
                 inside = (cell >= first[:-1, None]) & (cell < first[1:, None])
                 return np.where(inside, ids[np.clip(cell, 0, len(ids) - 1)], 0)
 
@@ -56,33 +61,38 @@ def compared_suffixes(window: int):
             left, l_shared = sorted_extensions(side(-1, window - 1), group)
             before = pos - start
             r_class, l_class = np.empty(n, np.int64), np.empty(n, np.int64)
-            rows, wins, srcs, reps, rep_wins, open_row, open_win = [], [], [], [], [], [], []
+            rows, wins, srcs, reps, rep_wins, runs, open_runs = [], [], [], [], [], [], []
             for o in range(int(before.max()) + 1):
                 r_class[right] = np.cumsum(r_shared < window - o)
                 l_class[left] = np.cumsum(l_shared < o)
                 has = np.flatnonzero((before >= o) & (before - many < o))
                 if not len(has):
                     continue
-                key = r_class[has] * (n + 1) + l_class[has]
-                order = np.lexsort((doc[has], key))
-                row, key = has[order], key[order]
+                key, at = r_class[has] * (n + 1) + l_class[has], pos[has] - o
+                order = np.lexsort((at, tk[has], doc[has], key))
+                row, key, at = has[order], key[order], at[order]
                 new = np.append(True, key[1:] != key[:-1])
-                rep = row[new][np.cumsum(new) - 1]
-                least = doc[rep]
-                late = doc[row] > least
-                rows.append(row[late]), wins.append((pos - o)[row[late]]), srcs.append(least[late])
                 # where a minimiser is split, the window's place in the cell's smallest document
-                rep = np.where(split[row], rep, -1)[late]
-                reps.append(rep), rep_wins.append(np.where(rep >= 0, (pos - o)[rep], 0))
-                stay = row[~late & split[row]]
-                open_row.append(stay), open_win.append((pos - o)[stay])
+                rep = np.flatnonzero(new)[np.cumsum(new) - 1]
+                rep, rep_a, least = np.where(split[row], row[rep], -1), at[rep], doc[row[rep]]
+                # equal windows of a text that touch or overlap are one row, however often words repeat
+                new[1:] |= (doc[row[1:]] != doc[row[:-1]]) | (tk[row[1:]] != tk[row[:-1]]) | (at[1:] - at[:-1] > window)
+                k = np.flatnonzero(new)
+                row, a, b, rep, rep_a, least = row[k], at[k], at[np.append(k[1:], len(at)) - 1] + 1, rep[k], rep_a[k], least[k]
+                late = doc[row] > least
+                one, more, stay = late & (b - a == 1), late & (b - a > 1), ~late & split[row]
+                rows.append(row[one]), wins.append(a[one]), srcs.append(least[one])
+                reps.append(rep[one]), rep_wins.append(np.where(rep >= 0, rep_a, 0)[one])
+                runs.append(np.array([row, a, b, least, rep, rep_a])[:, more])
+                open_runs.append(np.array([row, a, b])[:, stay])
             row, a, b, src, rep, rep_a = merge_windows(*(np.concatenate(x) for x in (rows, wins, srcs, reps, rep_wins)))
-            via = tuple(pa.array(x, mask=rep < 0) for x in (tk[rep], rep_a.astype(np.int32)))
-            yield found_batch(doc[row], tk[row], a, b, src, [None] * len(row), via=via)
-            row, a = np.concatenate(open_row), np.concatenate(open_win)
+            yield found_batch(doc[row], tk[row], a, b, src, [None] * len(row), via=via(tk, rep, rep_a, False))
+            row, a, b, src, rep, rep_a = np.concatenate(runs, axis=1)
+            yield found_batch(doc[row], tk[row], a, b, src, [None] * len(row), via=via(tk, rep, rep_a, True))
+            row, a, b = np.concatenate(open_runs, axis=1)
             if len(row):
                 w = first[row] + a - start[row]
-                yield found_batch(doc[row], tk[row], a, a + 1, doc[row],
+                yield found_batch(doc[row], tk[row], a, b, doc[row],
                                   [raw[s:e] for s, e in zip(starts[w].tolist(), ends[w + window - 1].tolist())])
     return run
 

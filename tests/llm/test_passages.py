@@ -157,3 +157,32 @@ def test_carried_sources_equal_brute_force(spark, monkeypatch):
     for r in got:
         assert r.src == min([40, *(x[4] for x in late if x[1] == 400 and r.a + 11 <= x[2] < r.b + 11)])
         assert (r.a + 11) // 7 == (r.b + 10) // 7
+
+
+@pytest.mark.parametrize("cell", [3, 7, 1024])
+def test_repeated_words_do_not_multiply_rows(spark, monkeypatch, cell):
+    """Texts of one, two or three repeating words: whole, interrupted, and beside a plain passage."""
+    kept = {}
+    real = minimisers.stored
+    monkeypatch.setattr(minimisers, "stored", lambda df, name: kept.setdefault(name, real(df, name)))
+    rnd = random.Random(6)
+    new = lambda n: [f"y{rnd.randrange(10**6)}" for _ in range(n)]
+    plain, rows = new(70), []
+    for k in range(48):
+        unit = [["u"], ["u", "v"], ["u", "v", "w"]][k % 3]
+        body = new(rnd.randint(0, 4)) + unit * rnd.randint(60, 90)
+        if k % 4 == 0:
+            body += new(rnd.choice([1, 49, 60])) + unit * rnd.randint(60, 90)
+        if k % 5 == 0:
+            body += plain[rnd.choice([0, 15]):]
+        rows.append((1000 - 7 * k, " ".join(body)))
+    rows += [(1000 - 7 * 30, " ".join(["u"] * 77 + new(3))), (1, rows[8][1])]
+    got = {(r.doc_id, r.first_word, r.end_word, r.kept_in)
+           for r in sparse_suffix.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string"), cell=cell).collect()}
+    want = set()
+    for (d, t), (w, gone, src) in zip(rows, brute(rows)):
+        edge = [i for i in range(len(w) + 1) if (i < len(w) and gone[i]) != (i > 0 and gone[i - 1])]
+        want |= {(d, i, j, min(src[x] for x in range(i, j))) for i, j in zip(edge[::2], edge[1::2])}
+    assert got == want
+    windows = sum(len(words(t)) - W + 1 for _, t in rows)
+    assert kept["late"].count() < windows / 10
