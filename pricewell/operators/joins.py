@@ -17,6 +17,13 @@ def bounded_list(df: DataFrame, rows: int = LIST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def dealt_wide(df: DataFrame, *cols: str) -> DataFrame:
+    """``df`` dealt by ``cols`` over as many tasks as the session's shuffles have. For slim rows that
+    cost much behind the exchange: joined to partitions of a size, they make fewer and longer tasks
+    than a cluster has cores for."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *cols)
+
+
 def with_ordered_index(df: DataFrame, order_cols: list[str], name: str, start=0) -> DataFrame:
     """Append a dense 1-based index ``start + rank`` in the order of ``order_cols``.
 
